@@ -1,0 +1,29 @@
+"""Join helpers: broadcast only what is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+class TooLarge(ValueError):
+    """A side meant to be broadcast exceeds its stated bound."""
+
+
+def checked_broadcast(df: DataFrame, max_rows: int, what: str = "table") -> DataFrame:
+    """Broadcast ``df`` after counting it; refuse beyond ``max_rows``.
+
+    Only for sides whose size is a property of the domain (class lists, code
+    tables), never for data that grows with the fact tables.
+    """
+    n = df.count()
+    if n > max_rows:
+        raise TooLarge(f"{what}: {n} rows exceeds the broadcast bound {max_rows}")
+    return F.broadcast(df)
+
+
+def small_or_shuffle(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast-hint ``df`` if it has at most ``max_rows`` rows, else leave it to
+    the planner (sort-merge, or AQE's runtime broadcast when measured small)."""
+    probe = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if probe <= max_rows else df

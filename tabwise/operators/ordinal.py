@@ -67,3 +67,28 @@ def grouped_rank(df: DataFrame, group_cols: list[str], order_cols: list,
     if size_name:
         out = out.withColumnRenamed("_tw_gn", size_name)
     return out.drop("_tw_ord", "_tw_start", "_tw_gn", *aliases.values())
+
+
+def with_running_weight(df: DataFrame, order_cols: list, weight: str,
+                        name: str = "weight_before") -> DataFrame:
+    """Add the sum of ``weight`` over all rows before this one in the global order.
+
+    The weighted form of ``with_ordinal``: used on pre-aggregated
+    (value, count) rows, so a rank lookup sorts distinct values, not raw rows.
+    Within a partition the running sum is a window over that partition's rows
+    (one sorted partition per window group, so no group exceeds a partition).
+    """
+    ordered = df.orderBy(*order_cols).checkpoint(eager=True)
+    tagged = (ordered
+              .withColumn("_tw_mid", F.monotonically_increasing_id())
+              .withColumn("_tw_pid", F.shiftright("_tw_mid", _ROW_BITS)))
+    totals = tagged.groupBy("_tw_pid").agg(F.sum(weight).alias("_tw_w"))
+    before = Window.orderBy("_tw_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "_tw_pid", F.coalesce(F.sum("_tw_w").over(before), F.lit(0)).alias("_tw_off"))
+    inside = Window.partitionBy("_tw_pid").orderBy("_tw_mid").rowsBetween(
+        Window.unboundedPreceding, -1)
+    local = tagged.withColumn("_tw_in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    out = local.join(F.broadcast(offsets), "_tw_pid")  # one row per partition
+    return (out.withColumn(name, (F.col("_tw_off") + F.col("_tw_in")).cast("bigint"))
+               .drop("_tw_mid", "_tw_pid", "_tw_off", "_tw_in"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwise.operators.ordinal import grouped_rank
+from tabwise.operators.ordinal import with_running_weight
 from tabwise.schemas import is_numeric
 
 
@@ -114,20 +114,33 @@ def exact_quantiles(long: DataFrame, group: str, value: str,
                     quantiles: tuple = (0.25, 0.5, 0.75)) -> DataFrame:
     """Exact quantiles with linear interpolation, per group.
 
-    Values are ranked by a global sort (``grouped_rank``); only the rows at the
-    needed ranks survive the filter, so the final aggregate is tiny.
+    Values are first collapsed to (group, value, count) (map-side partial
+    aggregation), then ranked by a global sort of the distinct values: each row
+    covers the ranks [before, before + count). Only rows covering a needed rank
+    survive the filter, so the final aggregate is tiny.
     """
-    ranked = grouped_rank(long, [group], [value], "_tw_r", "_tw_n")
+    counted = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("_tw_w"))
+    cum = with_running_weight(counted, [group, value], "_tw_w", "_tw_cum")
+    starts = (cum.groupBy(group)
+              .agg(F.min("_tw_cum").alias("_tw_start"), F.sum("_tw_w").alias("_tw_n"))
+              .withColumnRenamed(group, "_tw_g"))
+    ranked = (cum.join(starts, cum[group] == starts["_tw_g"])
+              .withColumn("_tw_lo", F.col("_tw_cum") - F.col("_tw_start"))
+              .withColumn("_tw_hi", F.col("_tw_lo") + F.col("_tw_w") - 1))
     pos = {q: F.lit(float(q)) * (F.col("_tw_n") - 1) for q in quantiles}
+
+    def covers(idx):
+        return (F.col("_tw_lo") <= idx) & (idx <= F.col("_tw_hi"))
+
     needed = None
     for q in quantiles:
-        hit = (F.col("_tw_r") == F.floor(pos[q])) | (F.col("_tw_r") == F.ceil(pos[q]))
+        hit = covers(F.floor(pos[q])) | covers(F.ceil(pos[q]))
         needed = hit if needed is None else needed | hit
     kept = ranked.where(needed)
     aggs = []
     for i, q in enumerate(quantiles):
-        aggs.append(F.max(F.when(F.col("_tw_r") == F.floor(pos[q]), F.col(value))).alias(f"_tw_l{i}"))
-        aggs.append(F.max(F.when(F.col("_tw_r") == F.ceil(pos[q]), F.col(value))).alias(f"_tw_h{i}"))
+        aggs.append(F.max(F.when(covers(F.floor(pos[q])), F.col(value))).alias(f"_tw_l{i}"))
+        aggs.append(F.max(F.when(covers(F.ceil(pos[q])), F.col(value))).alias(f"_tw_h{i}"))
     per = kept.groupBy(group).agg(F.max("_tw_n").alias("_tw_n"), *aggs)
     outs = []
     for i, q in enumerate(quantiles):

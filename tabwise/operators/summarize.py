@@ -62,13 +62,19 @@ def top_k(df: DataFrame, order_col: str, k: int, tiebreak: str | None = None,
 def pivot_count(df: DataFrame, row: str, column: str, values: list | None = None) -> DataFrame:
     """Two-key count spread wide, missing cells 0 (``groupby.count().unstack``).
 
-    Pass ``values`` when they are known: Spark then skips the distinct pass (and
-    it refuses more than ``spark.sql.pivotMaxValues`` distinct values otherwise).
+    The big table is read once: (row, column) counts are aggregated with a
+    map-side combine and checkpointed; the pivot values (when not given) and
+    the pivot itself then read that small table. Spark refuses more than
+    ``spark.sql.pivotMaxValues`` distinct pivot values.
     """
-    base = _non_null(df, row, column)
-    pivoted = base.groupBy(row).pivot(column, values).count()
+    long = (_non_null(df, row, column).groupBy(row, column)
+            .agg(F.count(F.lit(1)).alias("_tw_n")))
+    if values is None:
+        long = long.checkpoint(eager=True)
+    pivoted = long.groupBy(row).pivot(column, values).agg(F.sum("_tw_n"))
     value_cols = [c for c in pivoted.columns if c != row]
-    return pivoted.fillna(0, subset=value_cols)
+    return pivoted.select(row, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(c)
+                                 for c in value_cols])
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: list | None = None) -> DataFrame:
@@ -107,9 +113,15 @@ def matrix_range(table: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, by: str, measures: list[str], total: str,
-                   suffix: str = "_share") -> DataFrame:
-    """Per-group sums of the measures and of the total, plus each measure's share."""
-    sums = group_sum(df, by, measures + [total])
+                   suffix: str = "_share", count_name: str | None = None) -> DataFrame:
+    """Per-group sums of the measures and of the total, plus each measure's share.
+
+    ``count_name`` adds the group's row count from the same aggregate.
+    """
+    aggs = [F.sum(_measure(df, c)).alias(c) for c in measures + [total]]
+    if count_name:
+        aggs.append(F.count(F.lit(1)).alias(count_name))
+    sums = _non_null(df, by).groupBy(by).agg(*aggs)
     return sums.select("*", *[F.try_divide(F.col(m), F.col(total)).alias(m + suffix)
                               for m in measures])
 

@@ -539,14 +539,15 @@ def q_matrix_range(spark, sf):
 SHARE_MEASURES = ["disc_amt", "net_amt", "tax_amt"]
 
 
-def _shares(spark, sf):
+def _shares(spark, sf, count_name=None):
     li = load(spark, sf, "lineitem").select(
         "l_returnflag",
         (F.col("l_extendedprice") * F.col("l_discount")).alias("disc_amt"),
         (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("net_amt"),
         (F.col("l_extendedprice") * F.col("l_tax")).alias("tax_amt"),
         F.col("l_extendedprice").alias("gross"))
-    return summarize.share_of_total(li, "l_returnflag", SHARE_MEASURES, "gross")
+    return summarize.share_of_total(li, "l_returnflag", SHARE_MEASURES, "gross",
+                                    count_name=count_name)
 
 
 _SHARES_SQL = """
@@ -579,9 +580,7 @@ FROM (SELECT l_returnflag, sum(l_extendedprice * l_discount) AS disc_amt,
       FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag)
 """)
 def q_format_cells(spark, sf):
-    s = _shares(spark, sf)
-    n = summarize.value_counts(load(spark, sf, "lineitem"), "l_returnflag", "n")
-    s = s.join(n, "l_returnflag")
+    s = _shares(spark, sf, count_name="n")
     return s.select("l_returnflag",
                     *[fmt_decimals(m, 1).alias(f"{m}_txt") for m in SHARE_MEASURES],
                     *[fmt_percent(f"{m}_share", 2).alias(f"{m}_pct") for m in SHARE_MEASURES],

@@ -35,10 +35,12 @@ def land_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = LAT
 
 
 def land_zip_archives(lines: DataFrame, path: str, member_suffix: str,
-                      encoding: str = LATIN1) -> str:
-    """One zip archive per partition of ``lines`` (a single text column)."""
+                      encoding: str = LATIN1, archives: int | None = None) -> str:
+    """``archives`` zip archives (default: the default parallelism), one per task,
+    from ``lines`` (a single text column)."""
     target = local_path(path)
     col = lines.columns[0]
+    lines = lines.repartition(archives or lines.sparkSession.sparkContext.defaultParallelism)
 
     def write(batches):
         ctx = TaskContext.get()
@@ -47,14 +49,14 @@ def land_zip_archives(lines: DataFrame, path: str, member_suffix: str,
         os.makedirs(target, exist_ok=True)
         n = 0
         tmp = os.path.join(target, f".part-{pid:05d}-{attempt}.zip.tmp")
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
             with zf.open(f"part-{pid:05d}{member_suffix}", "w") as raw:
                 out = io.TextIOWrapper(raw, encoding=encoding, newline="\n")
                 for pdf in batches:
-                    for line in pdf[col]:
-                        out.write(line)
+                    if len(pdf):
+                        out.write("\n".join(pdf[col].tolist()))
                         out.write("\n")
-                        n += 1
+                        n += len(pdf)
                 out.flush()
                 out.detach()
         os.replace(tmp, os.path.join(target, f"part-{pid:05d}.zip"))  # atomic per task

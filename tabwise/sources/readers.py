@@ -57,7 +57,7 @@ def read_code_table(spark: SparkSession, path, glob: str | None = None,
 _ZIP_LINES_SCHEMA = "archive string, member string, line string"
 
 
-def _unzip_batches(member_suffix: str | None, encoding: str, chunk_rows: int):
+def _unzip_batches(member_suffix: str | None, encoding: str, chunk_bytes: int):
     def unzip(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
@@ -69,22 +69,19 @@ def _unzip_batches(member_suffix: str | None, encoding: str, chunk_rows: int):
                             continue
                         with zf.open(member) as fh:
                             text = io.TextIOWrapper(fh, encoding=encoding, newline="")
-                            buf = []
-                            for line in text:
-                                buf.append(line.rstrip("\r\n"))
-                                if len(buf) >= chunk_rows:
-                                    yield pd.DataFrame({"archive": path, "member": member,
-                                                        "line": buf})
-                                    buf = []
-                            if buf:
-                                yield pd.DataFrame({"archive": path, "member": member,
-                                                    "line": buf})
+                            while True:
+                                lines = text.readlines(chunk_bytes)
+                                if not lines:
+                                    break
+                                yield pd.DataFrame({
+                                    "archive": path, "member": member,
+                                    "line": pd.Series(lines, dtype=object).str.rstrip("\r\n")})
     return unzip
 
 
 def read_zip_lines(spark: SparkSession, path, member_suffix: str | None = None,
                    encoding: str = LATIN1, archive_glob: str = "*.zip",
-                   chunk_rows: int = 50_000) -> DataFrame:
+                   chunk_bytes: int = 16 << 20) -> DataFrame:
     """Lines of the members of zip archives: (archive, member, line).
 
     A zip archive cannot be split, so each archive is read by one task; lines
@@ -95,7 +92,7 @@ def read_zip_lines(spark: SparkSession, path, member_suffix: str | None = None,
              .load(path).select("path", "content"))
     # binaryFile packs files into partitions of at most maxPartitionBytes; a large
     # archive gets a partition of its own. No shuffle of the archive bytes.
-    return files.mapInPandas(_unzip_batches(member_suffix, encoding, chunk_rows),
+    return files.mapInPandas(_unzip_batches(member_suffix, encoding, chunk_bytes),
                              _ZIP_LINES_SCHEMA)
 
 

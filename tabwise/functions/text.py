@@ -107,3 +107,17 @@ def concat_key(*cols) -> Column:
 
 def _escape_like(text: str) -> str:
     return text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+
+
+def code_in(c, codes: list[str], multi_valued: bool = False, sep: str = ",") -> Column:
+    """Code membership in a code set.
+
+    Exact whole-value match by default; with ``multi_valued`` the cell holds a
+    ``sep``-separated list and matches if any listed code is in the set.
+    """
+    codes = [str(x) for x in codes]
+    if not multi_valued:
+        return _col(c).cast("string").isin(codes)
+    parts = F.split(_col(c).cast("string"), _regex_quote(sep), -1)
+    return F.arrays_overlap(F.transform(parts, lambda x: F.trim(x)),
+                            F.array(*[F.lit(x) for x in codes]))

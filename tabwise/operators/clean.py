@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwise.functions import convert as C
+from tabwise.operators.ordinal import with_ordinal
 
 
 def to_numeric(df: DataFrame, column: str, strip: str = "',",
@@ -57,3 +58,22 @@ def map_column_by_table(df: DataFrame, column: str, lookup: DataFrame,
 def update_cell(df: DataFrame, column: str, key_col: str, key, value) -> DataFrame:
     """Set one cell, addressed by a stable key (Spark rows have no position)."""
     return df.withColumn(column, C.set_cell(column, key_col, key, value))
+
+
+def cell_at(df: DataFrame, order_cols: list, position: int, column: str) -> DataFrame:
+    """The cell at 0-based ``position`` in ``order_cols`` order (one row, or none).
+
+    Spark rows have no index: the position is a consecutive ordinal over a
+    global sort (``with_ordinal``), not a single-task window.
+    """
+    indexed = with_ordinal(df, order_cols, "_tw_pos")
+    return indexed.where(F.col("_tw_pos") == F.lit(position)).select(column)
+
+
+def update_cell_at(df: DataFrame, order_cols: list, position: int, column: str,
+                   value) -> DataFrame:
+    """Set the cell at 0-based ``position`` (in ``order_cols`` order)."""
+    indexed = with_ordinal(df, order_cols, "_tw_pos")
+    out = indexed.withColumn(column, F.when(F.col("_tw_pos") == F.lit(position), F.lit(value))
+                             .otherwise(F.col(column)))
+    return out.select(*df.columns)

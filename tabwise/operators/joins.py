@@ -20,10 +20,3 @@ def checked_broadcast(df: DataFrame, max_rows: int, what: str = "table") -> Data
     if n > max_rows:
         raise TooLarge(f"{what}: {n} rows exceeds the broadcast bound {max_rows}")
     return F.broadcast(df)
-
-
-def small_or_shuffle(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` if it has at most ``max_rows`` rows, else leave it to
-    the planner (sort-merge, or AQE's runtime broadcast when measured small)."""
-    probe = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if probe <= max_rows else df

@@ -86,3 +86,11 @@ def dataset_metadata(df: DataFrame, reference_date: str,
     count_row = df.agg(F.count(F.lit(1)).cast("string").alias(val)).select(
         F.lit(count_key).alias(ref), val)
     return date_row.unionByName(count_row)
+
+
+def preview(df: DataFrame, n: int = 50):
+    """First ``n`` rows as a pandas frame, for display at the edge of a job.
+
+    Bounded by ``n``; never use it to move data between steps of a pipeline.
+    """
+    return df.limit(n).toPandas()

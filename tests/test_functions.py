@@ -115,3 +115,11 @@ def test_array_helpers(spark):
                                "v array<double>, l string, k array<string>")
     assert col_values(df, rescale("v"))[0] == [1.0, 0.0]
     assert col_values(df, one_hot("l", "k"))[0] == [0, 1, 0]
+
+
+def test_code_in(spark):
+    from tabwise.functions import code_in
+    df = spark.createDataFrame([("4751201",), ("1111111,4752100",), ("9999999",), (None,)], "c string")
+    codes = ["4751201", "4752100"]
+    assert col_values(df, code_in("c", codes)) == [True, False, False, None]
+    assert col_values(df, code_in("c", codes, multi_valued=True)) == [True, True, False, None]

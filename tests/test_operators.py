@@ -185,3 +185,16 @@ def test_one_hot_and_bound(spark):
     assert out == {"a": [1, 0, 0], "b": [0, 1, 0], "c": [0, 0, 1]}
     with pytest.raises(TooLarge):
         checked_broadcast(df, 2)
+
+
+def test_cell_by_position(spark):
+    df = spark.createDataFrame([(k, f"v{k}") for k in range(50)], "k int, v string").repartition(4)
+    assert [r.v for r in clean.cell_at(df, ["k"], 17, "v").collect()] == ["v17"]
+    out = {r.k: r.v for r in clean.update_cell_at(df, ["k"], 17, "v", "50000").collect()}
+    assert out[17] == "50000" and out[16] == "v16" and len(out) == 50
+
+
+def test_map_by_lookup_table(spark):
+    df = spark.createDataFrame([("Yellow Sea",), ("Kazakhstan",)], "c string")
+    lk = spark.createDataFrame([("Yellow Sea", "China")], "from string, to string")
+    assert sorted(r.c for r in clean.map_column_by_table(df, "c", lk).collect()) == ["China", "Kazakhstan"]

@@ -135,3 +135,8 @@ def test_stream_append_load_is_incremental(spark, tmp_dir):
     stream_append_load(spark, src, cols, target, ckpt, glob="*.csv")
     rows = sorted(tuple(r) for r in spark.read.parquet(target).collect())
     assert rows == [("1", "x"), ("2", ""), ("3", "z")]  # f1 not loaded twice, blank kept
+
+
+def test_preview_is_bounded(spark):
+    pdf = writers.preview(spark.range(1000), 5)
+    assert len(pdf) == 5

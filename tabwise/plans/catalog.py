@@ -880,7 +880,7 @@ def q_code_table_load(spark, sf):
 
 
 @query("labelled_files", """
-SELECT vec_id, CAST(label AS VARCHAR) AS label, len(embedding) AS dims FROM embeddings
+SELECT vec_id, CAST(label AS VARCHAR) AS label, CAST(len(embedding) AS INTEGER) AS dims FROM embeddings
 """)
 def q_labelled_files(spark, sf):
     path = scratch_path(spark, "labelled")

@@ -16,12 +16,24 @@ FOUND = "found"
 
 
 def lookup_join(keys: DataFrame, registry: DataFrame, key: str,
-                found_col: str = FOUND) -> DataFrame:
+                found_col: str = FOUND, max_broadcast_keys: int | None = None) -> DataFrame:
     """Left join ``keys`` to ``registry`` on ``key``; flag whether a record matched.
 
     Every key row is kept (key-only row when absent); duplicate keys stay
     duplicated. The registry must hold one record per key; see ``duplicate_keys``.
+
+    ``max_broadcast_keys`` enables the few-keys path: the keys are checkpointed
+    and their distinct count checked; when it is within the bound, the registry
+    is first semi-joined against the broadcast key set, so a huge registry is
+    filtered where it is scanned instead of being shuffled whole. Beyond the
+    bound the plain left join is planned (sort-merge, or AQE's broadcast of a
+    registry measured small).
     """
+    if max_broadcast_keys is not None:
+        keys = keys.checkpoint(eager=True)
+        wanted = keys.select(key).where(F.col(key).isNotNull()).distinct()
+        if wanted.count() <= max_broadcast_keys:
+            registry = registry.join(F.broadcast(wanted), on=key, how="left_semi")
     hit = registry.withColumn("_tw_hit", F.lit(True))
     out = keys.join(hit, on=key, how="left")
     return out.withColumn(found_col, F.coalesce(F.col("_tw_hit"), F.lit(False))).drop("_tw_hit")

@@ -70,6 +70,7 @@ PART_SEL = ", ".join(PART_COLS)
 # ---------------------------------------------------------------------------
 PROSPECT_STATE = "en"
 PROSPECT_KEYWORDS = ["LICENSE", "THORRE", "RETITION", "NTERTI"]
+PROSPECT_MAX_KEYS = 1_000_000  # few-keys path: registry filtered by the broadcast key set
 _kw_sql = " OR ".join(f"upper(d.text) LIKE '%{k}%'" for k in PROSPECT_KEYWORDS)
 
 
@@ -84,7 +85,7 @@ def q_prospect(spark, sf):
     docs = load(spark, sf, "documents")
     keys = filters.prospect(docs, "lang", PROSPECT_STATE, "text", PROSPECT_KEYWORDS)
     registry = load(spark, sf, "labels").select("doc_id", "quality", "toxic")
-    joined = enrich.lookup_join(keys, registry, "doc_id")
+    joined = enrich.lookup_join(keys, registry, "doc_id", max_broadcast_keys=PROSPECT_MAX_KEYS)
     return enrich.record_layout(joined, [
         ("cnpj", TX.pad_key("doc_id"), None, False),
         ("doc_id", "doc_id", None, False),

@@ -198,3 +198,15 @@ def test_map_by_lookup_table(spark):
     df = spark.createDataFrame([("Yellow Sea",), ("Kazakhstan",)], "c string")
     lk = spark.createDataFrame([("Yellow Sea", "China")], "from string, to string")
     assert sorted(r.c for r in clean.map_column_by_table(df, "c", lk).collect()) == ["China", "Kazakhstan"]
+
+
+def test_lookup_join_few_keys_path(spark):
+    keys = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "cnpj string")
+    reg = spark.createDataFrame([(str(i), f"n{i}") for i in range(100)], "cnpj string, name string")
+    plain = sorted((tuple(r) for r in enrich.lookup_join(keys, reg, "cnpj").collect()), key=str)
+    few = enrich.lookup_join(keys, reg, "cnpj", max_broadcast_keys=10)
+    assert sorted((tuple(r) for r in few.collect()), key=str) == plain
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "BroadcastExchange" in plan
+    over = enrich.lookup_join(keys, reg, "cnpj", max_broadcast_keys=1)  # bound exceeded
+    assert sorted((tuple(r) for r in over.collect()), key=str) == plain

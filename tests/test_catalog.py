@@ -35,8 +35,12 @@ def test_filter_pushdown_and_pruning(spark):
     pushed = plan[plan.index("PushedFilters: ["):]
     assert "EqualTo(p_type,PROMO)" in pushed[:pushed.index("]")]
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_brand:string,p_type:string,p_size:int>" in plan
-    prospect = plan_of(E.queries()["prospect"](spark, SF_SMALL))
-    assert "EqualTo(lang,en)" in prospect
+    from tabwise.operators import filters
+    from tabwise.plans import catalog
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    keys = filters.prospect(docs, "lang", catalog.PROSPECT_STATE, "text", catalog.PROSPECT_KEYWORDS)
+    assert "EqualTo(lang,en)" in plan_of(keys.select("doc_id"))
+    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan_of(keys.select("doc_id"))
 
 
 def test_filter_on_enriched_attribute_becomes_inner_join(spark):

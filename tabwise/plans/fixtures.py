@@ -2,22 +2,23 @@
 
 These build inputs for the file-based queries and tests: delimited extracts,
 zip archives, and class folders of per-item files. Archives and item files are
-written by the tasks themselves with Python file I/O, so the target must be a
-folder every executor can write as a normal path (local runs, shared mounts).
+written by the tasks themselves through ``pyarrow.fs``, which resolves the
+target URI (``file:``, ``hdfs:``, ``s3:``...) the same way on every executor;
+each task writes to a temporary name and renames when done, so a retried task
+never leaves a half-written file under the final name.
 """
 
 from __future__ import annotations
 
 import io
-import os
 import zipfile
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwise.session import local_path
 from tabwise.sources.readers import LATIN1
 
 
@@ -25,6 +26,15 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
+def _filesystem(uri: str):
+    """(filesystem, path) for a Spark-style URI or a plain local path."""
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file:///" + uri[5:].lstrip("/")
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
+
 def land_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = LATIN1,
                    mode: str = "overwrite") -> str:
     """Headerless delimited text, standard quoting, in the given encoding."""
@@ -38,7 +48,6 @@ def land_zip_archives(lines: DataFrame, path: str, member_suffix: str,
                       encoding: str = LATIN1, archives: int | None = None) -> str:
     """``archives`` zip archives (default: the default parallelism), one per task,
     from ``lines`` (a single text column)."""
-    target = local_path(path)
     col = lines.columns[0]
     lines = lines.repartition(archives or lines.sparkSession.sparkContext.defaultParallelism)
 
@@ -46,20 +55,22 @@ def land_zip_archives(lines: DataFrame, path: str, member_suffix: str,
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
         attempt = ctx.attemptNumber() if ctx else 0
-        os.makedirs(target, exist_ok=True)
+        fs, root = _filesystem(path)
+        fs.create_dir(root, recursive=True)
+        tmp = f"{root}/.part-{pid:05d}-{attempt}.zip.tmp"
         n = 0
-        tmp = os.path.join(target, f".part-{pid:05d}-{attempt}.zip.tmp")
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
-            with zf.open(f"part-{pid:05d}{member_suffix}", "w") as raw:
-                out = io.TextIOWrapper(raw, encoding=encoding, newline="\n")
-                for pdf in batches:
-                    if len(pdf):
-                        out.write("\n".join(pdf[col].tolist()))
-                        out.write("\n")
-                        n += len(pdf)
-                out.flush()
-                out.detach()
-        os.replace(tmp, os.path.join(target, f"part-{pid:05d}.zip"))  # atomic per task
+        with fs.open_output_stream(tmp) as sink:
+            with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
+                with zf.open(f"part-{pid:05d}{member_suffix}", "w") as raw:
+                    out = io.TextIOWrapper(raw, encoding=encoding, newline="\n")
+                    for pdf in batches:
+                        if len(pdf):
+                            out.write("\n".join(pdf[col].tolist()))
+                            out.write("\n")
+                            n += len(pdf)
+                    out.flush()
+                    out.detach()
+        fs.move(tmp, f"{root}/part-{pid:05d}.zip")
         yield pd.DataFrame({"rows": [n]})
 
     lines.select(col).mapInPandas(write, "rows long").agg(F.sum("rows")).collect()
@@ -69,19 +80,22 @@ def land_zip_archives(lines: DataFrame, path: str, member_suffix: str,
 def land_labelled_files(df: DataFrame, path: str, label: str, name: str, body: str,
                         suffix: str = ".txt") -> str:
     """One file per row at ``<path>/<label>/<name><suffix>`` holding ``body`` text."""
-    target = local_path(path)
 
     def write(batches):
+        fs, root = _filesystem(path)
+        made = set()
         n = 0
         for pdf in batches:
             for lab, nm, text in zip(pdf[label], pdf[name], pdf[body]):
-                folder = os.path.join(target, str(lab))
-                os.makedirs(folder, exist_ok=True)
-                final = os.path.join(folder, f"{nm}{suffix}")
-                tmp = final + ".tmp"
-                with open(tmp, "w", encoding="utf-8") as fh:
-                    fh.write(text)
-                os.replace(tmp, final)
+                folder = f"{root}/{lab}"
+                if folder not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
+                final = f"{folder}/{nm}{suffix}"
+                tmp = f"{folder}/.{nm}{suffix}.tmp"
+                with fs.open_output_stream(tmp) as fh:
+                    fh.write(text.encode("utf-8"))
+                fs.move(tmp, final)
                 n += 1
         yield pd.DataFrame({"rows": [n]})
 

@@ -8,7 +8,6 @@ laptop runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,12 +74,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     root = base.rsplit("/", 1)[0] if "/" in base else base
     return f"{root}/tabwise-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access (local runs only)."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

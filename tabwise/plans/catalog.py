@@ -760,15 +760,17 @@ def q_json_array_table(spark, sf):
 
 
 @query("json_pretty", """
-SELECT n_nationkey,
-       '{' || chr(10) || '  "n_name" : "' || n_name || '",' || chr(10) ||
-       '  "n_nationkey" : ' || CAST(n_nationkey AS VARCHAR) || ',' || chr(10) ||
-       '  "n_regionkey" : ' || CAST(n_regionkey AS VARCHAR) || chr(10) || '}' AS doc
-FROM nation
+SELECT c_custkey,
+       '{' || chr(10) || '  "c_custkey" : ' || CAST(c_custkey AS VARCHAR) || ',' || chr(10) ||
+       '  "c_mktsegment" : "' || c_mktsegment || '",' || chr(10) ||
+       '  "c_name" : "' || c_name || '",' || chr(10) ||
+       '  "c_nationkey" : ' || CAST(c_nationkey AS VARCHAR) || chr(10) || '}' AS doc
+FROM customer
 """)
 def q_json_pretty(spark, sf):
-    n = load(spark, sf, "nation")
-    return n.select("n_nationkey", pretty_json("n_regionkey", "n_nationkey", "n_name").alias("doc"))
+    c = load(spark, sf, "customer")
+    return c.select("c_custkey", pretty_json("c_name", "c_nationkey", "c_custkey",
+                                             "c_mktsegment").alias("doc"))
 
 
 # ---------------------------------------------------------------------------

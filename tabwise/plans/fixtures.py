@@ -82,6 +82,8 @@ def land_labelled_files(df: DataFrame, path: str, label: str, name: str, body: s
     """One file per row at ``<path>/<label>/<name><suffix>`` holding ``body`` text."""
 
     def write(batches):
+        ctx = TaskContext.get()
+        tag = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
         fs, root = _filesystem(path)
         made = set()
         n = 0
@@ -92,7 +94,7 @@ def land_labelled_files(df: DataFrame, path: str, label: str, name: str, body: s
                     fs.create_dir(folder, recursive=True)
                     made.add(folder)
                 final = f"{folder}/{nm}{suffix}"
-                tmp = f"{folder}/.{nm}{suffix}.tmp"
+                tmp = f"{folder}/.{nm}{suffix}.{tag}.tmp"  # unique per task attempt
                 with fs.open_output_stream(tmp) as fh:
                     fh.write(text.encode("utf-8"))
                 fs.move(tmp, final)

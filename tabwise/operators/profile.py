@@ -85,8 +85,15 @@ def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str] | None = None,
-             quantiles: tuple = (0.25, 0.5, 0.75)) -> DataFrame:
-    """count, mean, std (sample), min, quartiles (linear interpolation), max per column."""
+             quantiles: tuple = (0.25, 0.5, 0.75), exact: bool = True,
+             accuracy: int = 10_000) -> DataFrame:
+    """count, mean, std (sample), min, quartiles, max per column.
+
+    ``exact`` quartiles interpolate linearly between ranked values (two shuffles
+    of the numeric data: pre-aggregation and a global sort). ``exact=False``
+    uses ``percentile_approx`` (bounded memory per column, rank error at most
+    1/``accuracy``, returns data values, no interpolation).
+    """
     cols = columns or numeric_column_names(df)
     wide = df.agg(*[e for i, c in enumerate(cols) for e in (
         F.count(_present(df, c)).alias(f"_tw_c{i}"),
@@ -100,7 +107,10 @@ def describe(df: DataFrame, columns: list[str] | None = None,
                  F.col(f"_tw_s{i}").alias("std"), F.col(f"_tw_lo{i}").alias("min"),
                  F.col(f"_tw_hi{i}").alias("max"))
         for i, c in enumerate(cols)]))
-    qs = exact_quantiles(_long_values(df, cols), "column", "value", quantiles)
+    if exact:
+        qs = exact_quantiles(_long_values(df, cols), "column", "value", quantiles)
+    else:
+        qs = approx_quantiles(_long_values(df, cols), "column", "value", quantiles, accuracy)
     out = moments.join(qs, "column", "left")
     qnames = [_qname(q) for q in quantiles]
     return out.select("column", "count", "mean", "std", "min", *qnames, "max", "position")
@@ -150,6 +160,14 @@ def exact_quantiles(long: DataFrame, group: str, value: str,
     return per.select(group, *outs)
 
 
+def approx_quantiles(long: DataFrame, group: str, value: str,
+                     quantiles: tuple = (0.25, 0.5, 0.75), accuracy: int = 10_000) -> DataFrame:
+    """Approximate quantiles per group (Greenwald-Khanna sketches, merged per task)."""
+    arr = F.percentile_approx(F.col(value), list(quantiles), accuracy).alias("_tw_q")
+    per = long.groupBy(group).agg(arr)
+    return per.select(group, *[F.col("_tw_q")[i].alias(_qname(q)) for i, q in enumerate(quantiles)])
+
+
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -> DataFrame:
     """Equal-width histogram of each numeric column, empty bins kept as 0.
 

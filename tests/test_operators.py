@@ -210,3 +210,12 @@ def test_lookup_join_few_keys_path(spark):
     assert "LeftSemi" in plan and "BroadcastExchange" in plan
     over = enrich.lookup_join(keys, reg, "cnpj", max_broadcast_keys=1)  # bound exceeded
     assert sorted((tuple(r) for r in over.collect()), key=str) == plain
+
+
+def test_describe_approx_close_to_exact(spark):
+    df = spark.range(0, 10001).select(F.col("id").cast("double").alias("v"))
+    exact = profile.describe(df).first()
+    approx = profile.describe(df, exact=False).first()
+    assert exact.q50 == 5000.0
+    for q in ("q25", "q50", "q75"):
+        assert abs(approx[q] - exact[q]) <= 10001 / 10_000 + 1

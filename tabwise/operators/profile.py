@@ -77,10 +77,11 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value) rows of the present numeric values."""
+    """(_tw_cid, value) rows of the present numeric values; the column is keyed by
+    its position (an int hashes and sorts faster than the name)."""
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), _present(df, c).cast("double").alias("value"))
-        for c in cols])).alias("_tw_s")).select("_tw_s.*")
+        F.struct(F.lit(i).alias("_tw_cid"), _present(df, c).cast("double").alias("value"))
+        for i, c in enumerate(cols)])).alias("_tw_s")).select("_tw_s.*")
     return long.where(F.col("value").isNotNull())
 
 
@@ -108,10 +109,11 @@ def describe(df: DataFrame, columns: list[str] | None = None,
                  F.col(f"_tw_hi{i}").alias("max"))
         for i, c in enumerate(cols)]))
     if exact:
-        qs = exact_quantiles(_long_values(df, cols), "column", "value", quantiles)
+        qs = exact_quantiles(_long_values(df, cols), "_tw_cid", "value", quantiles)
     else:
-        qs = approx_quantiles(_long_values(df, cols), "column", "value", quantiles, accuracy)
-    out = moments.join(qs, "column", "left")
+        qs = approx_quantiles(_long_values(df, cols), "_tw_cid", "value", quantiles, accuracy)
+    # Both sides hold one row per column.
+    out = moments.join(qs, moments["position"] == qs["_tw_cid"], "left")
     qnames = [_qname(q) for q in quantiles]
     return out.select("column", "count", "mean", "std", "min", *qnames, "max", "position")
 
@@ -180,25 +182,25 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -
         F.min(_present(df, c).cast("double")).alias(f"_tw_lo{i}"),
         F.max(_present(df, c).cast("double")).alias(f"_tw_hi{i}"))])
     ranges = rng_wide.select(_rows([
-        F.struct(F.lit(c).alias("column"), F.col(f"_tw_lo{i}").alias("_tw_mn"),
-                 F.col(f"_tw_hi{i}").alias("_tw_mx"))
+        F.struct(F.lit(i).alias("_tw_cid"), F.lit(c).alias("column"),
+                 F.col(f"_tw_lo{i}").alias("_tw_mn"), F.col(f"_tw_hi{i}").alias("_tw_mx"))
         for i, c in enumerate(cols)]))
     same = F.col("_tw_mx") == F.col("_tw_mn")
     ranges = (ranges
               .withColumn("bin_lo0", F.when(same, F.col("_tw_mn") - 0.5).otherwise(F.col("_tw_mn")))
               .withColumn("bin_hi0", F.when(same, F.col("_tw_mx") + 0.5).otherwise(F.col("_tw_mx")))
               .withColumn("_tw_step", (F.col("bin_hi0") - F.col("bin_lo0")) / F.lit(bins))
-              .select("column", "bin_lo0", "bin_hi0", "_tw_step"))
+              .select("_tw_cid", "column", "bin_lo0", "bin_hi0", "_tw_step"))
     # One row per column: a bounded broadcast.
-    binned = _long_values(df, cols).join(F.broadcast(ranges), "column")
+    binned = _long_values(df, cols).join(F.broadcast(ranges.drop("column")), "_tw_cid")
     edge = lambda i: F.lit(i) * F.col("_tw_step") + F.col("bin_lo0")
     bin_no = F.lit(1)
     for i in range(1, bins):
         bin_no = bin_no + (F.col("value") >= edge(i)).cast("int")
-    counts = binned.groupBy("column", bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = binned.groupBy("_tw_cid", bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = ranges.crossJoin(F.broadcast(
         df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))))
-    out = grid.join(counts, ["column", "bin"], "left").fillna(0, subset=["count"])
+    out = grid.join(counts, ["_tw_cid", "bin"], "left").fillna(0, subset=["count"])
     return out.select(
         "column", "bin",
         ((F.col("bin") - 1) * F.col("_tw_step") + F.col("bin_lo0")).alias("bin_lo"),

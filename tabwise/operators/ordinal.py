@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 # monotonically_increasing_id() = partition index << 33 | row index in partition
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
+_TIE_SEED = 17
 
 
 def with_ordinal(df: DataFrame, order_cols: list, name: str = "ordinal",
@@ -26,9 +27,11 @@ def with_ordinal(df: DataFrame, order_cols: list, name: str = "ordinal",
 
     The sorted data is checkpointed to the session's checkpoint folder so the
     two reads below (offsets, rows) see the same partitions even if an executor
-    is lost and a stage is recomputed.
+    is lost and a stage is recomputed. A seeded random tiebreaker lets the range
+    partitioner split a huge run of equal keys over many tasks (tied rows are
+    interchangeable for the ordinal).
     """
-    ordered = df.orderBy(*order_cols)
+    ordered = df.orderBy(*order_cols, F.rand(_TIE_SEED))
     if cut_lineage:
         ordered = ordered.checkpoint(eager=True)
     tagged = (ordered

@@ -219,3 +219,19 @@ def test_describe_approx_close_to_exact(spark):
     assert exact.q50 == 5000.0
     for q in ("q25", "q50", "q75"):
         assert abs(approx[q] - exact[q]) <= 10001 / 10_000 + 1
+
+
+def test_with_ordinal_splits_a_huge_tie(spark):
+    df = spark.range(0, 4000, numPartitions=4).select(
+        F.when(F.col("id") < 3000, F.lit(1)).otherwise(F.col("id")).alias("k"), "id")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # small data: keep the range partitions visible
+    try:
+        out = ordinal.with_ordinal(df, ["k"], "ord")
+        rows = out.collect()
+        spread = out.where(F.col("k") == 1).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert sorted(r.ord for r in rows) == list(range(4000))
+    assert all(r.ord < 3000 for r in rows if r.k == 1)  # the tie group comes first
+    assert len(spread) > 1  # the 3000 tied rows span several tasks

@@ -7,6 +7,21 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# ---------------------------------------------------------------------------
+# Whole-value maps of the launch-data clean-up, as published.
+# ---------------------------------------------------------------------------
+LAUNCH_SITE_COUNTRIES = {
+    "Shahrud Missile Test Site": "Iran",
+    "New Mexico": "USA",
+    "Yellow Sea": "China",
+    "Pacific Missile Range Facility": "USA",
+    "Pacific Ocean": "Multi National",
+    "Barents Sea": "Russia",
+    "Gran Canaria": "USA",
+}
+COMPANY_NAME_FIXES = {"Arm??e de l'Air": "Arme de l'Air"}
+# ---------------------------------------------------------------------------
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

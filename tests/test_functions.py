@@ -123,3 +123,9 @@ def test_code_in(spark):
     codes = ["4751201", "4752100"]
     assert col_values(df, code_in("c", codes)) == [True, False, False, None]
     assert col_values(df, code_in("c", codes, multi_valued=True)) == [True, True, False, None]
+
+
+def test_launch_site_preset(spark):
+    from tabwise.functions.convert import LAUNCH_SITE_COUNTRIES
+    df = spark.createDataFrame([("Yellow Sea",), ("Kazakhstan",)], "c string")
+    assert col_values(df, map_values("c", LAUNCH_SITE_COUNTRIES)) == ["China", "Kazakhstan"]

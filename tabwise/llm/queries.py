@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from tabwise.llm import decontaminate, mixing, secrets
+from tabwise.llm import decontaminate, mixing, neardup, quality, repeats, secrets, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.query,
+    "op2_quality": quality.query,
     "op3_secret_scan": secrets.query,
+    "op4_repeat_removal": repeats.query,
+    "op6_near_duplicates": neardup.query,
     "op9_source_mix": mixing.query,
     "op10_decontaminate": decontaminate.query,
 }
 
+#: Where SQL can express the result, and is fast enough on whole tables.
 ORACLES = {
+    "op4_repeat_removal": repeats.ORACLE,
+    "op6_near_duplicates": neardup.ORACLE,
     "op9_source_mix": mixing.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }

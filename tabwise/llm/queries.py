@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from tabwise.llm import decontaminate, mixing, neardup, quality, repeats, secrets, toxicity
+from tabwise.llm import ann, chat, decontaminate, licenses, mixing, neardup, quality, repeats, secrets, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_quality": quality.query,
     "op3_secret_scan": secrets.query,
     "op4_repeat_removal": repeats.query,
+    "op5_license_scan": licenses.query,
     "op6_near_duplicates": neardup.query,
+    "op7_chat_format": chat.query,
+    "op8_nearest": ann.query,
     "op9_source_mix": mixing.query,
     "op10_decontaminate": decontaminate.query,
 }
@@ -18,6 +21,7 @@ QUERIES = {
 ORACLES = {
     "op4_repeat_removal": repeats.ORACLE,
     "op6_near_duplicates": neardup.ORACLE,
+    "op7_chat_format": chat.ORACLE,
     "op9_source_mix": mixing.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }

@@ -54,8 +54,29 @@ def get_session(master: str | None = None, app: str = "tabwise",
     return spark
 
 
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(sc._jsc.hadoopConfiguration()), jpath
+
+
+def _drop_at_end(spark: SparkSession, path: str) -> None:
+    """Have the folder (made now if need be) deleted when the driver ends, whoever built the session."""
+    fs, jpath = _file_system(spark, path)
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, choosing a local one only if unset."""
+    """Return the session's checkpoint folder, choosing a local one only if unset on a local master.
+
+    Elsewhere executors would each write to a disk of their own, so an unset
+    folder is an error. A folder set from here is deleted when the driver ends.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -63,14 +84,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local run (tests). A cluster must name a shared folder.
+        if not _is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tabwise-ckpt-")
     sc.setCheckpointDir(configured)
+    _drop_at_end(spark, sc.getCheckpointDir())
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint directory."""
+    """A fresh, unique path under the shared checkpoint directory, deleted when the driver ends."""
     base = ensure_checkpoint_dir(spark)
     root = base.rsplit("/", 1)[0] if "/" in base else base
-    return f"{root}/tabwise-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    folder = f"{root}/tabwise-scratch/{uuid.uuid4().hex[:12]}"
+    _drop_at_end(spark, folder)
+    return f"{folder}/{name}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path before that."""
+    fs, jpath = _file_system(spark, path)
+    fs.delete(jpath, True)

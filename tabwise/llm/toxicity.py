@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwise.llm.common import fold, table
@@ -163,17 +163,15 @@ def sentence_scores(text: str | None, scores: WordScores) -> list[tuple[int, int
 
 
 def _score(model: Model, offending: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scores = WordScores(model)
-        for pdf in batches:
+        for texts in batches:
             rows = []
-            for key, text in zip(pdf["doc_id"], pdf["text"]):
+            for text in texts:
                 found = sentence_scores(text, scores)
                 clean = np.prod([1 - p for _, _, p in found]) if found else 1.0
-                rows.append((key, float(1 - clean), [f for f in found if f[2] >= offending]))
-            out = pd.DataFrame(rows, columns=["doc_id", "score", "offending"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+                rows.append((float(1 - clean), [f for f in found if f[2] >= offending]))
+            yield pd.DataFrame(rows, columns=["score", "offending"])
             if len(scores) > _REMEMBERED:
                 scores.clear()
 
@@ -199,21 +197,22 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
     return fit(sample["text"].tolist(), sample["label"].to_numpy()) if len(sample) else fit([], np.zeros(1))
 
 
-def score_toxicity(docs: DataFrame, model: Model, offending: float = 0.5) -> DataFrame:
-    """doc_id, score, offending: array of (start, end, score) of sentences at or above ``offending``.
+def toxicity(text: Column, model: Model, offending: float = 0.5) -> Column:
+    """struct(score, offending): the text's score, and (start, end, score) of its offending sentences.
 
-    One row per input row. Null, empty and wordless texts score 0. Positions are
-    code points. Other columns of ``docs`` are not used.
+    A sentence offends at or above ``offending``. Null, empty and wordless texts
+    score 0. Positions are code points.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        _score(model, offending), "doc_id long, score double, "
-                                  "offending array<struct<start:long,end:long,score:double>>")
+    score = F.pandas_udf(_score(model, offending),
+                         "score double, offending array<struct<start:long,end:long,score:double>>")
+    return score(text)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = train(docs, labels.filter(fold(F.col("doc_id"), FOLDS) != 0))
-    scored = score_toxicity(docs, model)
+    scored = (docs.select("doc_id", toxicity(F.col("text"), model).alias("found"))
+              .select("doc_id", "found.score", "found.offending"))
     worst = F.element_at(F.sort_array(F.transform("offending", lambda s: F.struct(s["score"], s["start"], s["end"])),
                                       asc=False), 1)
     worst = F.when(F.size("offending") > 0, worst)

@@ -8,7 +8,7 @@ document that is left.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwise.llm import decontaminate, mixing, neardup, secrets, toxicity
@@ -22,24 +22,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go."""
     labels = table(spark, sf_dir, "labels").filter(fold(F.col("doc_id"), toxicity.FOLDS) != 0)
     model = toxicity.train(docs, labels)
-    scored = docs.withColumn("_found", toxicity.toxicity(F.col("text"), model))
-    return scored.filter(F.col("_found.score") < 0.5).select(*docs.columns)
+    scored = docs.select(F.struct("*").alias("row"), toxicity.toxicity(F.col("text"), model).alias("found"))
+    return scored.filter(F.col("found.score") < 0.5).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, of repeated rows one row."""
     found = neardup.near_duplicates(docs.select("doc_id", "text"), SHINGLE).filter("kept")
-    kept = found.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
-                        F.col("text_key").alias("_text")).distinct()
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_text": F.xxhash64("text")})
+    def key(id_: str, text: Column) -> list[Column]:
+        return [F.coalesce(F.col(id_).cast("string"), F.lit("")).alias("id"), text.alias("text_key")]
+
+    kept = found.select(*key("doc_id", F.col("text_key"))).distinct()
+    keyed = docs.select(F.struct("*").alias("row"), *key("doc_id", F.xxhash64("text")))
     # Joined and deduplicated by the same key: one shuffle of the texts.
-    return keyed.join(kept, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"]).select(*docs.columns)
+    return keyed.join(kept, ["id", "text_key"], "left_semi").dropDuplicates(["id", "text_key"]).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.filter(F.col("n_hit") == 0).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    found = decontaminate.find_contamination(rows, table(spark, sf_dir, "benchmark"))
+    return found.filter(F.col("n_hit") == 0).select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

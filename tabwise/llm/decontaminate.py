@@ -103,26 +103,26 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     nothing. Repeated rows each get the same result; an empty benchmark hits
     nothing. Columns of these names in ``docs`` are replaced.
     """
-    plain = docs.drop("n_words", "n_hit", "hit_items", "key_id", "key_text", "places")
+    plain = docs.drop("n_words", "n_hit", "hit_items")
     candidates = _candidates(docs.select("doc_id", "text"), item_windows(benchmark, window), shingle)
-    keyed = plain.withColumns({"_id": F.col("doc_id"), "_text": F.xxhash64("text")})
-    joined = (keyed.join(candidates, F.col("_id").eqNullSafe(F.col("key_id"))
-                         & (F.col("_text") == F.col("key_text")), "left")
-              .withColumn("_words", _words(F.col("text"))))
+    keyed = plain.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"))
+    joined = (keyed.join(candidates, F.col("id").eqNullSafe(F.col("key_id"))
+                         & (F.col("text_key") == F.col("key_text")), "left")
+              .withColumn("words", _words(F.col("row.text"))))
     hits = F.filter(F.coalesce("places", F.expr("array()")), lambda p: F.array_join(
-        F.slice(F.col("_words"), p["start"] + 1, p["length"]), " ") == p["phrase"])
+        F.slice(F.col("words"), p["start"] + 1, p["length"]), " ") == p["phrase"])
     # Places are unique and sorted by start: one sweep counts the words they cover.
     covered = F.aggregate(
-        F.array_sort(F.transform("_hits", lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length")))),
+        F.array_sort(F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length")))),
         F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
         lambda s, h: F.struct(
             F.greatest(s["end"], h["start"] + h["length"]).alias("end"),
             (s["n"] + F.greatest(F.lit(0), h["start"] + h["length"] - F.greatest(s["end"], h["start"]))).alias("n")),
         lambda s: s["n"])
-    items = F.array_sort(F.array_distinct(F.flatten(F.transform("_hits", lambda h: h["items"]))))
-    return (joined.withColumn("_hits", hits)
-            .withColumns({"n_words": F.size("_words").cast("long"), "n_hit": covered, "hit_items": items})
-            .select(*plain.columns, "n_words", "n_hit", "hit_items"))
+    items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))))
+    return (joined.withColumn("hits", hits)
+            .select("row.*", F.size("words").cast("long").alias("n_words"), covered.alias("n_hit"),
+                    items.alias("hit_items")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,22 +161,22 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
     Overlapping spans become one mark. Texts without spans, null ones included,
     stay as they are.
     """
-    spans = F.col("secret_spans")
+    found = scan_secrets(docs.select(F.struct("*").alias("row"), "text"), **options)
     pieces = F.aggregate(
-        spans, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts")),
+        "secret_spans", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts")),
         lambda s, x: F.struct(
             F.greatest(s["at"], x["end"]).alias("at"),
             F.when(x["start"] >= s["at"], F.concat(s["parts"], F.array(
                 F.col("text").substr((s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")), F.lit(mark))))
             .otherwise(s["parts"]).alias("parts")))
-    rest = F.expr("substring(text, cast(_pieces.at + 1 as int))")
-    masked = F.concat(F.array_join(F.col("_pieces.parts"), ""), rest)
-    out = (scan_secrets(docs, **options).withColumn("_pieces", F.when(F.size(spans) > 0, pieces))
-           .withColumn("text", F.when(F.col("_pieces").isNotNull(), masked).otherwise(F.col("text"))))
+    rest = F.expr("substring(text, cast(pieces.at + 1 as int))")
+    any_ = F.col("pieces").isNotNull()
+    masked = (found.withColumn("pieces", F.when(F.size("secret_spans") > 0, pieces))
+              .select("row", "pieces", F.concat(F.array_join(F.col("pieces.parts"), ""), rest).alias("masked")))
+    new = {"text": F.when(any_, F.col("masked")).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_pieces").isNotNull(), F.length("text").cast("long"))
-                             .otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(any_, F.length("masked").cast("long")).otherwise(F.col("row.n_chars"))
+    return masked.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def _joined(spans: Column) -> Column:

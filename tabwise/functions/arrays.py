@@ -15,6 +15,8 @@ def rescale(arr, factor: float = 1.0 / 255) -> Column:
     return F.transform(_col(arr), lambda x: x.cast("double") * F.lit(factor))
 
 
-def one_hot(label, classes) -> Column:
-    """0/1 array over ``classes`` (an array column, in class order)."""
-    return F.transform(_col(classes), lambda k: (k == _col(label)).cast("int"))
+def one_hot(position, width) -> Column:
+    """0/1 array of ``width`` entries with a 1 at ``position``; all zeros for a null position."""
+    at = F.coalesce(_col(position), F.lit(-1))
+    places = F.filter(F.sequence(F.lit(0), _col(width)), lambda i: i < _col(width))
+    return F.transform(places, lambda i: (i == at).cast("int"))

@@ -40,9 +40,12 @@ def _regex_quote(text: str) -> str:
 def pad_key(c, width: int = KEY_WIDTH) -> Column:
     """Left-pad a key with zeros to ``width``; longer keys are kept whole.
 
-    ``lpad`` alone would truncate keys longer than ``width``; null stays null.
+    ``lpad`` alone would truncate keys longer than ``width``; null stays null. A
+    key that landed as a number with a fraction type is written as a whole number.
     """
-    s = _col(c).cast("string")
+    text = _col(c).cast("string")
+    fractional = F.typeof(_col(c)).rlike("^(double|float|decimal)")
+    s = F.when(fractional, text.cast("decimal(38,0)").cast("string")).otherwise(text)
     return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
 
 

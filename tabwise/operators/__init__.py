@@ -1,5 +1,5 @@
 """DataFrame -> DataFrame operators."""
 
 from tabwise.operators import (  # noqa: F401
-    clean, enrich, filters, joins, ordinal, prepare, profile, summarize,
+    clean, enrich, filters, ordinal, prepare, profile, summarize,
 )

@@ -12,8 +12,13 @@ from tabwise.operators.ordinal import with_ordinal
 
 def to_numeric(df: DataFrame, column: str, strip: str = "',",
                dtype: str = "double", strict: bool = True) -> DataFrame:
-    """Strip separator characters, then cast (strict fails on bad text)."""
+    """Strip separator characters, then cast (strict fails on bad text).
+
+    A cell that is blank then is missing: null, not an error.
+    """
     cleaned = C.strip_chars(column, strip) if strip else F.col(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        cleaned = F.when(F.trim(cleaned) != "", cleaned)
     cast = C.to_number(cleaned, dtype) if strict else C.try_number(cleaned, dtype)
     return df.withColumn(column, cast)
 

@@ -10,33 +10,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwise.functions.text import clean_text
+from tabwise.functions.text import clean_text, pad_key
 
 FOUND = "found"
 
 
 def lookup_join(keys: DataFrame, registry: DataFrame, key: str,
-                found_col: str = FOUND, max_broadcast_keys: int | None = None) -> DataFrame:
+                found_col: str = FOUND, record_col: str | None = None,
+                pad_width: int | None = None, one_per_key: bool = False) -> DataFrame:
     """Left join ``keys`` to ``registry`` on ``key``; flag whether a record matched.
 
     Every key row is kept (key-only row when absent); duplicate keys stay
-    duplicated. The registry must hold one record per key; see ``duplicate_keys``.
-
-    ``max_broadcast_keys`` enables the few-keys path: the keys are checkpointed
-    and their distinct count checked; when it is within the bound, the registry
-    is first semi-joined against the broadcast key set, so a huge registry is
-    filtered where it is scanned instead of being shuffled whole. Beyond the
-    bound the plain left join is planned (sort-merge, or AQE's broadcast of a
-    registry measured small).
+    duplicated. One plan for every size: Spark picks the join from the measured
+    sizes and splits skewed partitions.
+
+    ``record_col`` carries the registry's columns as one struct of that name, so
+    they never clash with those of ``keys``; without it they are added as columns,
+    and a name held by both sides is an error. ``pad_width`` pads the key with
+    zeros on both sides before comparing (the output has the padded key). A
+    registry key held more than once multiplies its key rows, unless
+    ``one_per_key`` keeps one record (the smallest) of each; see ``duplicate_keys``.
     """
-    if max_broadcast_keys is not None:
-        keys = keys.checkpoint(eager=True)
-        wanted = keys.select(key).where(F.col(key).isNotNull()).distinct()
-        if wanted.count() <= max_broadcast_keys:
-            registry = registry.join(F.broadcast(wanted), on=key, how="left_semi")
-    hit = registry.withColumn("_tw_hit", F.lit(True))
-    out = keys.join(hit, on=key, how="left")
-    return out.withColumn(found_col, F.coalesce(F.col("_tw_hit"), F.lit(False))).drop("_tw_hit")
+    fields = [c for c in registry.columns if c != key]
+    names = {record_col} if record_col else set(fields)
+    clash = names & set(keys.columns)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}; name a record_col")
+    left, right = keys, registry
+    if pad_width:
+        left = keys.withColumn(key, pad_key(key, pad_width))
+        right = registry.withColumn(key, pad_key(key, pad_width))
+    record = F.struct(*[F.col(f"`{c}`") for c in fields]) if fields else F.lit(True)
+    hit = right.select(F.col(f"`{key}`"), record.alias("_tw_hit")).where(F.col(f"`{key}`").isNotNull())
+    if one_per_key:
+        hit = hit.groupBy(key).agg(F.min("_tw_hit").alias("_tw_hit"))
+    out = left.join(hit, on=key, how="left").withColumn(found_col, F.col("_tw_hit").isNotNull())
+    kept = [F.col(f"`{c}`") for c in keys.columns]
+    added = ([F.col("_tw_hit").alias(record_col)] if record_col
+             else [F.col("_tw_hit")[c].alias(c) for c in fields])
+    return out.select(*kept, *added, found_col)
 
 
 def duplicate_keys(registry: DataFrame, key: str) -> DataFrame:
@@ -47,12 +59,10 @@ def duplicate_keys(registry: DataFrame, key: str) -> DataFrame:
 def found_or_key_only(keys: DataFrame, registry: DataFrame, key: str) -> DataFrame:
     """Found records plus key-only rows for the misses, stacked by name.
 
-    The same rows as ``lookup_join`` without the flag, built as the union the
-    original row-by-row append produced: an inner join plus an anti join.
+    The same rows as ``lookup_join`` without the flag: one left join gives what
+    the original row-by-row append of both kinds produced.
     """
-    found = keys.join(registry, on=key, how="inner")
-    missing = keys.join(registry.select(key), on=key, how="left_anti")
-    return found.unionByName(missing, allowMissingColumns=True)
+    return keys.join(registry, on=key, how="left")
 
 
 def record_layout(df: DataFrame, spec: list[tuple]) -> DataFrame:

@@ -7,8 +7,11 @@ the keyword part above the scan (it must see the raw text).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from tabwise.functions import text as T
 
@@ -37,7 +40,18 @@ def filter_keywords(df: DataFrame, column: str, keywords: list[str]) -> DataFram
 
 
 def filter_code(df: DataFrame, column: str, code: str) -> DataFrame:
-    """Code equality with the code given as text, whatever the column type."""
+    """Code equality with the code given as text, whatever the column type.
+
+    On a whole-number column the code is compared as a number, so that the filter
+    reaches the scan; a code that is no canonical number matches nothing there.
+    """
+    text, dtype = str(code), df.schema[column].dataType
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        bits = {ByteType: 7, ShortType: 15, IntegerType: 31, LongType: 63}[type(dtype)]
+        number = int(text) if re.fullmatch(r"0|-?[1-9][0-9]{0,18}", text) else None
+        if number is None or not -(1 << bits) <= number < 1 << bits:
+            return df.where(F.lit(False))
+        return df.where(F.col(column) == F.lit(number).cast(dtype))
     return df.where(T.code_equals(column, code))
 
 

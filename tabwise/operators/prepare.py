@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwise.functions.arrays import one_hot, rescale
-from tabwise.operators.joins import checked_broadcast
-from tabwise.operators.ordinal import grouped_rank
+from tabwise.operators.ordinal import grouped_rank, with_ordinal
 
 TRAINING = "training"
 VALIDATION = "validation"
@@ -28,24 +27,29 @@ def class_split(df: DataFrame, label: str, order: str, validation_fraction: floa
                   .drop("_tw_rank", "_tw_size"))
 
 
-def class_list(df: DataFrame, label: str) -> DataFrame:
-    """One row holding the sorted distinct labels (partially aggregated per task)."""
-    return df.select(label).distinct().agg(
-        F.sort_array(F.collect_list(label)).alias("classes"))
+def class_positions(df: DataFrame, label: str, position: str = "position") -> DataFrame:
+    """(label, position): the distinct present labels, numbered from 0 in sorted order."""
+    distinct = df.where(F.col(label).isNotNull()).select(label).distinct()
+    return with_ordinal(distinct, [label], position).withColumn(position, F.col(position).cast("int"))
 
 
-def one_hot_labels(df: DataFrame, label: str, out: str = "one_hot",
-                   max_classes: int = 10_000) -> DataFrame:
-    """0/1 vector per row over the classes in sorted order.
+def class_index(df: DataFrame, label: str, position: str = "position") -> DataFrame:
+    """Each row with its class's position (null without a label): the sparse one-hot form.
 
-    The class list is a categorical domain: it is counted before it is broadcast
-    and refused beyond ``max_classes``.
+    A join on the label table, for any number of classes.
     """
-    distinct = df.select(label).distinct()
-    checked_broadcast(distinct, max_classes, "class list")
-    classes = distinct.agg(F.sort_array(F.collect_list(label)).alias("_tw_classes"))
-    return (df.crossJoin(F.broadcast(classes))
-              .withColumn(out, one_hot(label, "_tw_classes")).drop("_tw_classes"))
+    return df.join(class_positions(df, label, position), on=label, how="left").select(*df.columns, position)
+
+
+def one_hot_labels(df: DataFrame, label: str, out: str = "one_hot") -> DataFrame:
+    """0/1 vector per row over the classes in sorted order; all zeros without a label.
+
+    As wide as there are classes: with very many of them use ``class_index``.
+    """
+    positions = class_positions(df, label, "_tw_position")
+    width = positions.agg(F.count(F.lit(1)).cast("int").alias("_tw_width"))  # one row
+    indexed = df.join(positions, on=label, how="left").crossJoin(F.broadcast(width))
+    return indexed.select(*df.columns, one_hot("_tw_position", "_tw_width").alias(out))
 
 
 def rescale_column(df: DataFrame, column: str, factor: float = 1.0 / 255,

@@ -8,11 +8,12 @@ per-column buffer of all values in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwise.operators.ordinal import with_running_weight
 from tabwise.schemas import is_numeric
 
 
@@ -49,7 +50,7 @@ def _rows(structs: list) -> DataFrame:
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
-    """Per column: missing count and percent of rows, fewest missing first."""
+    """Per column: missing count and percent of rows (null without rows), fewest missing first."""
     cols = df.columns
     wide = df.agg(F.count(F.lit(1)).alias("_tw_rows"),
                   *[F.count_if(_present(df, c).isNull()).alias(f"_tw_m{i}")
@@ -57,7 +58,7 @@ def missing_profile(df: DataFrame) -> DataFrame:
     long = wide.select(_rows([
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"),
                  F.col(f"_tw_m{i}").alias("missing_count"),
-                 (F.lit(100.0) * F.col(f"_tw_m{i}") / F.col("_tw_rows")).alias("missing_pct"))
+                 F.try_divide(F.lit(100.0) * F.col(f"_tw_m{i}"), F.col("_tw_rows")).alias("missing_pct"))
         for i, c in enumerate(cols)]))
     return long.orderBy("missing_count", "position")
 
@@ -127,28 +128,36 @@ def exact_quantiles(long: DataFrame, group: str, value: str,
     """Exact quantiles with linear interpolation, per group.
 
     Values are first collapsed to (group, value, count) (map-side partial
-    aggregation), then ranked by a global sort of the distinct values: each row
-    covers the ranks [before, before + count). Only rows covering a needed rank
-    survive the filter, so the final aggregate is tiny.
+    aggregation) and sorted globally, once; each row covers the ranks
+    [before, before + count). The weight of every (group, partition) is a small
+    table, one row per sorted partition and group: it tells each group's size and
+    which partitions hold a needed rank. Only those are ranked row by row, and only
+    rows covering a needed rank survive, so the final aggregate is tiny.
     """
     counted = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("_tw_w"))
-    cum = with_running_weight(counted, [group, value], "_tw_w", "_tw_cum")
-    starts = (cum.groupBy(group)
-              .agg(F.min("_tw_cum").alias("_tw_start"), F.sum("_tw_w").alias("_tw_n"))
-              .withColumnRenamed(group, "_tw_g"))
-    ranked = (cum.join(starts, cum[group] == starts["_tw_g"])
-              .withColumn("_tw_lo", F.col("_tw_cum") - F.col("_tw_start"))
+    ordered = counted.orderBy(group, value).checkpoint(eager=True)
+    tagged = ordered.withColumn("_tw_pid", F.spark_partition_id())
+    totals = tagged.groupBy(group, "_tw_pid").agg(F.sum("_tw_w").alias("_tw_pw"))
+    along = Window.partitionBy(group).orderBy("_tw_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (totals.withColumn("_tw_before", F.coalesce(F.sum("_tw_pw").over(along), F.lit(0)))
+              .withColumn("_tw_n", F.sum("_tw_pw").over(Window.partitionBy(group))))
+    ranks = [f(F.lit(float(q)) * (F.col("_tw_n") - 1)) for q in quantiles for f in (F.floor, F.ceil)]
+
+    def any_in(low, high):
+        return reduce(lambda a, b: a | b, [(low <= k) & (k <= high) for k in ranks])
+
+    holding = totals.where(any_in(F.col("_tw_before"), F.col("_tw_before") + F.col("_tw_pw") - 1))
+    inside = Window.partitionBy(group, "_tw_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    # At most two rows per group and quantile: a bounded broadcast.
+    ranked = (tagged.join(F.broadcast(holding), [group, "_tw_pid"])
+              .withColumn("_tw_lo", F.col("_tw_before") + F.coalesce(F.sum("_tw_w").over(inside), F.lit(0)))
               .withColumn("_tw_hi", F.col("_tw_lo") + F.col("_tw_w") - 1))
     pos = {q: F.lit(float(q)) * (F.col("_tw_n") - 1) for q in quantiles}
 
     def covers(idx):
         return (F.col("_tw_lo") <= idx) & (idx <= F.col("_tw_hi"))
 
-    needed = None
-    for q in quantiles:
-        hit = covers(F.floor(pos[q])) | covers(F.ceil(pos[q]))
-        needed = hit if needed is None else needed | hit
-    kept = ranked.where(needed)
+    kept = ranked.where(any_in(F.col("_tw_lo"), F.col("_tw_hi")))
     aggs = []
     for i, q in enumerate(quantiles):
         aggs.append(F.max(F.when(covers(F.floor(pos[q])), F.col(value))).alias(f"_tw_l{i}"))

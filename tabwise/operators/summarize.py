@@ -59,16 +59,22 @@ def top_k(df: DataFrame, order_col: str, k: int, tiebreak: str | None = None,
     return df.orderBy(*keys).limit(k)
 
 
+def pair_counts(df: DataFrame, row: str, column: str, count_name: str = "count") -> DataFrame:
+    """(row, column, count): the long form of ``pivot_count``, for any number of labels."""
+    return (_non_null(df, row, column).groupBy(row, column)
+            .agg(F.count(F.lit(1)).alias(count_name)))
+
+
 def pivot_count(df: DataFrame, row: str, column: str, values: list | None = None) -> DataFrame:
     """Two-key count spread wide, missing cells 0 (``groupby.count().unstack``).
 
     The big table is read once: (row, column) counts are aggregated with a
     map-side combine and checkpointed; the pivot values (when not given) and
     the pivot itself then read that small table. Spark refuses more than
-    ``spark.sql.pivotMaxValues`` distinct pivot values.
+    ``spark.sql.pivotMaxValues`` distinct pivot values; ``pair_counts`` is the
+    form without that limit.
     """
-    long = (_non_null(df, row, column).groupBy(row, column)
-            .agg(F.count(F.lit(1)).alias("_tw_n")))
+    long = pair_counts(df, row, column, "_tw_n")
     if values is None:
         long = long.checkpoint(eager=True)
     pivoted = long.groupBy(row).pivot(column, values).agg(F.sum("_tw_n"))
@@ -86,7 +92,7 @@ def row_totals(table: DataFrame, row: str, total_name: str = "Total",
                min_total: float | None = None) -> DataFrame:
     """Add the row total of the value columns; keep rows with total > ``min_total``."""
     value_cols = [c for c in table.columns if c != row]
-    out = table.withColumn(total_name, reduce(lambda a, b: a + b, [F.col(c) for c in value_cols]))
+    out = table.withColumn(total_name, reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in value_cols]))
     if min_total is not None:
         out = out.where(F.col(total_name) > F.lit(min_total))
     return out
@@ -100,16 +106,17 @@ def add_margins(table: DataFrame, row: str, total_name: str = "Total",
     """
     with_total = row_totals(table, row, total_name, min_total)
     value_cols = [c for c in with_total.columns if c != row]
-    sums = with_total.agg(*[F.sum(c).alias(c) for c in value_cols])
-    totals_row = sums.select(F.lit(total_label).cast("string").alias(row), *value_cols)
-    body = with_total.withColumn(row, F.col(row).cast("string"))
+    sums = with_total.agg(*[F.sum(F.col(f"`{c}`")).alias(c) for c in value_cols])
+    totals_row = sums.select(F.lit(total_label).cast("string").alias(row), *[F.col(f"`{c}`") for c in value_cols])
+    body = with_total.withColumn(row, F.col(f"`{row}`").cast("string"))
     return body.unionByName(totals_row)
 
 
 def matrix_range(table: DataFrame, columns: list[str]) -> DataFrame:
     """Largest and smallest cell over a block of columns."""
-    return table.agg(F.max(F.greatest(*columns)).alias("max_value"),
-                     F.min(F.least(*columns)).alias("min_value"))
+    cells = [F.col(f"`{c}`") for c in columns]
+    largest, smallest = (F.greatest(*cells), F.least(*cells)) if len(cells) > 1 else (cells[0], cells[0])
+    return table.agg(F.max(largest).alias("max_value"), F.min(smallest).alias("min_value"))
 
 
 def share_of_total(df: DataFrame, by: str, measures: list[str], total: str,
@@ -128,6 +135,6 @@ def share_of_total(df: DataFrame, by: str, measures: list[str], total: str,
 
 def kpis(df: DataFrame, revenue: str, by: list[str] | None = None) -> DataFrame:
     """Revenue, item count and average ticket (revenue / count)."""
-    aggs = [F.sum(revenue).alias("revenue"), F.count(F.lit(1)).alias("quantity")]
+    aggs = [F.sum(_measure(df, revenue)).alias("revenue"), F.count(F.lit(1)).alias("quantity")]
     grouped = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     return grouped.withColumn("avg_ticket", F.try_divide(F.col("revenue"), F.col("quantity")))

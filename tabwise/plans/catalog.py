@@ -23,7 +23,8 @@ from tabwise.functions.json import json_field, pretty_json
 from tabwise.operators import clean, enrich, filters, prepare, profile, summarize
 from tabwise.plans import fixtures
 from tabwise.plans.tables import load
-from tabwise.schemas import CODE_TABLE_COLUMNS
+from tabwise.schemas import (CODE_TABLE_COLUMNS, CODE_TABLE_SUFFIXES, COMPANY_COLUMNS, KEY_WIDTH,
+                             LARGE_TABLE_SUFFIXES, SHEET_COLUMNS, SHEET_COLUMNS_15, SHEET_SCHEMA)
 from tabwise.session import scratch_path
 from tabwise.sources import readers, writers
 from tabwise.streaming import stream_append_load
@@ -52,7 +53,9 @@ def oracle_sql() -> dict[str, str]:
 
 def r(x: str, d: int = 4) -> str:
     """SQL twin of ``round_half_up``."""
-    return f"(floor(({x}) * {10 ** d} + 0.5) / {10 ** d})"
+    v = f"CAST(({x}) AS DOUBLE)"
+    return (f"(CASE WHEN abs({v}) * {10 ** d} >= CAST(9007199254740992 AS DOUBLE) THEN {v} "
+            f"ELSE floor({v} * {10 ** d} + 0.5) / {10 ** d} END)")
 
 
 def sql_pad(x: str, width: int = 14) -> str:
@@ -70,35 +73,41 @@ PART_SEL = ", ".join(PART_COLS)
 # ---------------------------------------------------------------------------
 PROSPECT_STATE = "en"
 PROSPECT_KEYWORDS = ["LICENSE", "THORRE", "RETITION", "NTERTI"]
-PROSPECT_MAX_KEYS = 1_000_000  # few-keys path: registry filtered by the broadcast key set
 _kw_sql = " OR ".join(f"upper(d.text) LIKE '%{k}%'" for k in PROSPECT_KEYWORDS)
 
 
 @query("prospect", f"""
 SELECT {sql_pad('d.doc_id')} AS cnpj, d.doc_id AS doc_id, d.lang AS uf, d.source AS fonte,
        d.n_chars AS n_chars, translate(d.text, chr(10) || ';', '  ') AS descricao,
-       l.quality AS quality, l.toxic AS toxic, l.doc_id IS NOT NULL AS found
+       l.quality AS quality, l.toxic AS toxic, l.quality AS registro_n_chars, l.doc_id IS NOT NULL AS found
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 WHERE d.lang = '{PROSPECT_STATE}' AND ({_kw_sql})
 """)
 def q_prospect(spark, sf):
     docs = load(spark, sf, "documents")
     keys = filters.prospect(docs, "lang", PROSPECT_STATE, "text", PROSPECT_KEYWORDS)
-    registry = load(spark, sf, "labels").select("doc_id", "quality", "toxic")
-    joined = enrich.lookup_join(keys, registry, "doc_id", max_broadcast_keys=PROSPECT_MAX_KEYS)
+    joined = enrich.lookup_join(keys.withColumn("cnpj", F.col("doc_id").cast("string")), _registry(spark, sf),
+                                "cnpj", record_col="rec", pad_width=KEY_WIDTH)
     return enrich.record_layout(joined, [
-        ("cnpj", TX.pad_key("doc_id"), None, False),
+        ("cnpj", "cnpj", None, False),
         ("doc_id", "doc_id", None, False),
         ("uf", "lang", None, False),
         ("fonte", "source", None, False),
         ("n_chars", "n_chars", None, False),
         ("descricao", "text", None, True),
-        ("quality", "quality", None, False),
-        ("toxic", "toxic", None, False),
+        ("quality", "rec.quality", None, False),
+        ("toxic", "rec.toxic", None, False),
+        ("registro_n_chars", "rec.n_chars", None, False),
         ("found", "found", None, False),
     ])
 
 
+def _registry(spark, sf):
+    """The landed registry: text keys without padding, and a column name that the keys have as well."""
+    return load(spark, sf, "labels").select(
+        F.col("doc_id").cast("string").alias("cnpj"), "quality", "toxic", F.col("quality").alias("n_chars"))
+
+
 # ---------------------------------------------------------------------------
 # Filters
 # ---------------------------------------------------------------------------
@@ -139,6 +148,28 @@ def q_filter_code(spark, sf):
     return filters.filter_code(load(spark, sf, "part"), "p_size", "11").select(*PART_COLS)
 
 
+CODE_SET = ["11", "23", "7", "not a code"]
+_CODES_SQL = "(" + ", ".join(f"'{c}'" for c in CODE_SET) + ")"
+
+
+@query("code_in_exact", f"""
+SELECT {PART_SEL} FROM part WHERE CAST(p_size AS VARCHAR) IN {_CODES_SQL}
+""")
+def q_code_in_exact(spark, sf):
+    return load(spark, sf, "part").where(TX.code_in("p_size", CODE_SET)).select(*PART_COLS)
+
+
+@query("code_in_list", f"""
+SELECT p_partkey, codes FROM (
+  SELECT p_partkey, CAST(p_size AS VARCHAR) || ', ' || CAST(p_partkey % 30 AS VARCHAR) AS codes FROM part)
+WHERE split_part(codes, ', ', 1) IN {_CODES_SQL} OR split_part(codes, ', ', 2) IN {_CODES_SQL}
+""")
+def q_code_in_list(spark, sf):
+    listed = load(spark, sf, "part").select("p_partkey", F.concat_ws(
+        ", ", F.col("p_size").cast("string"), (F.col("p_partkey") % 30).cast("string")).alias("codes"))
+    return listed.where(TX.code_in("codes", CODE_SET, multi_valued=True))
+
+
 @query("filter_rlike", f"""
 SELECT {PART_SEL} FROM part WHERE regexp_matches(p_name, '(?i)^(red|blue) ')
 """)
@@ -193,32 +224,66 @@ def q_numeric_columns(spark, sf):
     return profile.numeric_columns(load(spark, sf, "customer"))
 
 
-@query("record_layout", f"""
-SELECT {sql_pad('c.c_custkey')} AS cnpj, c.c_name AS razao_social,
-       c.c_mktsegment AS porte, c.c_acctbal AS capital_social,
-       CAST(c.c_nationkey AS BIGINT) AS codigo_natureza_juridica, n.n_name AS uf,
-       c.c_mktsegment AS situacao_cadastral, c.c_mktsegment AS descricao_situacao_cadastral
-FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-""")
-def q_record_layout(spark, sf):
+# The record of the registry, as the driver tables can fill it, and its place in the sheet.
+_SHEET_SOURCES = {
+    "cnpj": ("rec.key", f"{sql_pad('c.c_custkey')}"),
+    "razao_social": ("rec.name", "c.c_name"),
+    "nome_fantasia": ("rec.name", "c.c_name"),
+    "atividade_principal_codigo": ("rec.activity.code", "CAST(c.c_custkey % 97 AS VARCHAR)"),
+    "atividade_principal_descricao": ("rec.activity.text", "lower(c.c_mktsegment)"),
+    "situacao_cadastral": ("rec.segment", "c.c_mktsegment"),
+    "capital_social": ("rec.balance", "c.c_acctbal"),
+    "porte": ("rec.segment", "c.c_mktsegment"),
+    "codigo_natureza_juridica": ("rec.nature_code", "CAST(c.c_nationkey AS BIGINT)"),
+    "data_abertura": ("rec.opened", "CAST(1970 + c.c_custkey % 50 AS VARCHAR) || '-01-01'"),
+    "bairro": ("rec.address.district", "'D' || CAST(c.c_custkey % 13 AS VARCHAR)"),
+    "cep": ("rec.address.zip", "lpad(CAST(c.c_custkey AS VARCHAR), 8, '0')"),
+    "municipio": ("rec.address.city", "'M' || CAST(c.c_nationkey AS VARCHAR)"),
+    "uf": ("rec.address.state", "n.n_name"),
+    "ddd_telefone_1": ("rec.phone", "CAST(c.c_custkey % 90 + 10 AS VARCHAR)"),
+    "descricao_situacao_cadastral": ("rec.segment", "c.c_mktsegment"),
+}
+
+
+def _sheet_sql(columns: list[str]) -> str:
+    return (f"SELECT {', '.join(f'{_SHEET_SOURCES[c][1]} AS {c}' for c in columns)} "
+            "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey")
+
+
+def _records(spark, sf):
     cust = load(spark, sf, "customer")
     nation = load(spark, sf, "nation")
-    records = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
-        F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
-                 F.col("c_mktsegment").alias("segment"),
+    key = F.col("c_custkey")
+    return cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        F.struct(key.alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
                  F.col("c_acctbal").cast("string").alias("balance"),
                  F.col("c_nationkey").cast("string").alias("nature_code"),
-                 F.col("n_name").alias("state")).alias("rec"))
-    return enrich.record_layout(records, [
-        ("cnpj", TX.pad_key("rec.key"), None, False),
-        ("razao_social", "rec.name", None, False),
-        ("porte", "rec.segment", None, False),
-        ("capital_social", "rec.balance", "double", False),
-        ("codigo_natureza_juridica", "rec.nature_code", "bigint", False),
-        ("uf", "rec.state", None, False),
-        ("situacao_cadastral", "rec.segment", None, False),
-        ("descricao_situacao_cadastral", "rec.segment", None, False),
-    ])
+                 F.concat((key % 50 + 1970).cast("string"), F.lit("-01-01")).alias("opened"),
+                 (key % 90 + 10).cast("string").alias("phone"),
+                 F.struct((key % 97).cast("string").alias("code"),
+                          F.lower("c_mktsegment").alias("text")).alias("activity"),
+                 F.struct(F.concat(F.lit("D"), (key % 13).cast("string")).alias("district"),
+                          F.lpad(key.cast("string"), 8, "0").alias("zip"),
+                          F.concat(F.lit("M"), F.col("c_nationkey").cast("string")).alias("city"),
+                          F.col("n_name").alias("state")).alias("address")).alias("rec"))
+
+
+def _sheet(records, columns):
+    spec = []
+    for c in columns:
+        source = TX.pad_key("rec.key") if c == "cnpj" else _SHEET_SOURCES[c][0]
+        spec.append((c, source, SHEET_SCHEMA[c].dataType.simpleString(), c == "razao_social"))
+    return enrich.record_layout(records, spec)
+
+
+@query("record_layout", _sheet_sql(SHEET_COLUMNS))
+def q_record_layout(spark, sf):
+    return _sheet(_records(spark, sf), SHEET_COLUMNS)
+
+
+@query("record_layout_15", _sheet_sql(SHEET_COLUMNS_15))
+def q_record_layout_15(spark, sf):
+    return _sheet(_records(spark, sf), SHEET_COLUMNS_15)
 
 
 @query("composite_key", """
@@ -243,11 +308,11 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 
 
 def _enriched(spark, sf):
-    keys = load(spark, sf, "documents").select("doc_id", "lang", "source")
-    registry = load(spark, sf, "labels").select("doc_id", "quality", "toxic")
-    out = enrich.lookup_join(keys, registry, "doc_id")
-    return out.select(TX.pad_key("doc_id").alias("cnpj"), "doc_id", "lang", "source",
-                      "quality", "toxic", "found")
+    keys = load(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("cnpj"), "doc_id", "lang", "source", "n_chars")
+    out = enrich.lookup_join(keys, _registry(spark, sf), "cnpj", record_col="rec", pad_width=KEY_WIDTH)
+    return out.select("cnpj", "doc_id", "lang", "source", F.col("rec.quality").alias("quality"),
+                      F.col("rec.toxic").alias("toxic"), "found")
 
 
 @query("enrich_lookup", _ENRICH_SQL)
@@ -407,6 +472,14 @@ def q_cell_update(spark, sf):
     return clean.update_cell(c, "c_mktsegment", "c_custkey", 42, "AUTOMOBILE")
 
 
+@query("cell_at", """
+SELECT c_mktsegment FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 1 OFFSET 42
+""")
+def q_cell_at(spark, sf):
+    c = load(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    return clean.cell_at(c, [F.desc("c_acctbal"), F.asc("c_custkey")], 42, "c_mktsegment")
+
+
 # ---------------------------------------------------------------------------
 # Aggregations, pivots, margins, shares, KPIs
 # ---------------------------------------------------------------------------
@@ -491,6 +564,16 @@ def q_pivot_count(spark, sf):
     return summarize.pivot_count(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
 
 
+@query("pair_counts", """
+SELECT c_custkey % 1000 AS bucket, c_acctbal AS balance, count(*) AS customers
+FROM customer WHERE c_acctbal IS NOT NULL AND c_custkey IS NOT NULL GROUP BY 1, 2
+""")
+def q_pair_counts(spark, sf):
+    c = load(spark, sf, "customer").select((F.col("c_custkey") % 1000).alias("bucket"),
+                                           F.col("c_acctbal").alias("balance"))
+    return summarize.pair_counts(c, "bucket", "balance", "customers")
+
+
 _CROSSTAB_SQL = f"""
 SELECT p_brand, {_count_cols('p_type', P_TYPES)}
 FROM part WHERE p_brand IS NOT NULL AND p_type IS NOT NULL GROUP BY p_brand
@@ -739,7 +822,7 @@ def q_json_field(spark, sf):
 
 @query("json_map_rows", """
 SELECT e.event_id AS event_id, j.key AS key, CAST(j.value AS INTEGER) AS value
-FROM events e, json_each(e.props) j
+FROM events e LEFT JOIN LATERAL (SELECT * FROM json_each(e.props)) j ON true
 """)
 def q_json_map_rows(spark, sf):
     return readers.json_map_rows(load(spark, sf, "events"), "props", "int", keep=["event_id"])
@@ -817,9 +900,9 @@ CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
     T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
     T.StructField("c_mktsegment", T.StringType())])
-LI_TEXT_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-                "complemento"]
+LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+           "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+LI_TEXT_COLS = [*LI_COLS, "complemento"]
 
 
 @query("scan_csv_header", """
@@ -827,37 +910,38 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 """)
 def q_scan_csv_header(spark, sf):
     path = scratch_path(spark, "customer-csv")
-    (load(spark, sf, "customer").write.option("header", True).option("quote", '"')
-        .option("escape", '"').csv(path))
+    # The file has another column order than the schema asks for.
+    (load(spark, sf, "customer").select("c_mktsegment", "c_acctbal", "c_name", "c_custkey", "c_nationkey")
+        .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
     return readers.read_csv_header(spark, path, CUSTOMER_SCHEMA)
 
 
 def _lineitem_extract(spark, sf):
     """lineitem as the raw extract: all text, plus an always-blank column."""
     li = load(spark, sf, "lineitem")
-    return li.select(*LI_TEXT_COLS[:-1], F.lit("").alias("complemento"))
+    return li.select(*LI_COLS, F.lit("").alias("complemento"))
 
 
-_EXTRACT_SQL = """
+_EXTRACT_SQL = f"""
 SELECT CAST(l_orderkey AS VARCHAR) || CAST(l_partkey AS VARCHAR) || CAST(l_linenumber AS VARCHAR) AS cnpj,
-       CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
-       l_quantity AS l_quantity, l_returnflag, '' AS complemento
+       {', '.join(LI_COLS)}, '' AS complemento
 FROM lineitem
 """
 
 
-def _extract_result(df):
+def _extract_result(df, like):
+    """Every landed column, back in the type it had."""
     return df.select(TX.concat_key("l_orderkey", "l_partkey", "l_linenumber").alias("cnpj"),
-                     "l_orderkey", "l_linenumber", CV.to_number("l_quantity").alias("l_quantity"),
-                     "l_returnflag", "complemento")
+                     *[CV.to_number(c, like.schema[c].dataType.simpleString()).alias(c) for c in LI_COLS],
+                     "complemento")
 
 
 @query("scan_delimited_text", _EXTRACT_SQL)
 def q_scan_delimited_text(spark, sf):
     path = scratch_path(spark, "extract")
     fixtures.land_delimited(_lineitem_extract(spark, sf), path)
-    return _extract_result(readers.read_delimited_text(spark, path, LI_TEXT_COLS,
-                                                       glob="*.csv"))
+    landed = readers.read_delimited_text(spark, path, LI_TEXT_COLS, glob="*.csv")
+    return _extract_result(landed, load(spark, sf, "lineitem"))
 
 
 @query("unzip_lines", _EXTRACT_SQL)
@@ -868,7 +952,78 @@ def q_unzip_lines(spark, sf):
         .alias("line"))
     fixtures.land_zip_archives(lines, path, ".ESTABELE")
     raw = readers.read_zip_lines(spark, path, member_suffix=".ESTABELE")
-    return _extract_result(readers.parse_delimited_lines(raw, "line", LI_TEXT_COLS))
+    return _extract_result(readers.parse_delimited_lines(raw, "line", LI_TEXT_COLS), load(spark, sf, "lineitem"))
+
+
+@query("scan_rejects", """
+SELECT CAST(l_orderkey AS VARCHAR) || ';' || CAST(l_partkey AS VARCHAR) ||
+       CASE l_linenumber WHEN 1 THEN '' ELSE ';3;4' END AS rejected
+FROM lineitem WHERE l_linenumber IN (1, 2)
+""")
+def q_scan_rejects(spark, sf):
+    """Rows with a cell too few or too many are set aside with their raw line."""
+    path = scratch_path(spark, "ragged")
+    li = load(spark, sf, "lineitem")
+    tail = F.when(F.col("l_linenumber") == 1, "").when(F.col("l_linenumber") == 2, ";3;4").otherwise(";x")
+    li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit(";"), F.col("l_partkey").cast("string"), tail)
+              ).write.text(path)
+    landed = readers.read_delimited_text(spark, path, ["a", "b", "c"], ragged="keep")
+    return landed.where(F.col("rejected").isNotNull()).select("rejected")
+
+
+@query("registry_load", """
+SELECT lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS cnpj_basico, c.c_name AS razao_social,
+       CAST(c.c_nationkey AS VARCHAR) AS natureza_juridica, n.n_name AS natureza_descricao,
+       CAST(c.c_acctbal AS DOUBLE) AS capital_social, '' AS ente_federativo_responsavel
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+""")
+def q_registry_load(spark, sf):
+    """The 7-column company layout and a code table, landed and picked by their file suffixes."""
+    path = scratch_path(spark, "registry")
+    cust, nation = load(spark, sf, "customer"), load(spark, sf, "nation")
+    companies = cust.select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0"), "c_name", "c_nationkey", F.lit("49"), "c_acctbal",
+        F.lit("05"), F.lit("")).toDF(*COMPANY_COLUMNS)
+    fixtures.land_zip_archives(_csv_lines(companies), path + "/companies", LARGE_TABLE_SUFFIXES["empresas"])
+    codes = nation.select("n_nationkey", "n_name").toDF(*CODE_TABLE_COLUMNS)
+    fixtures.land_zip_archives(_csv_lines(codes), path + "/codes", CODE_TABLE_SUFFIXES["natureza_juridica"], archives=1)
+
+    def landed(folder, suffix, columns):
+        lines = readers.read_zip_lines(spark, path + folder, member_suffix=suffix)
+        return readers.parse_delimited_lines(lines, "line", columns)
+
+    table = landed("/companies", LARGE_TABLE_SUFFIXES["empresas"], COMPANY_COLUMNS)
+    code = landed("/codes", CODE_TABLE_SUFFIXES["natureza_juridica"], CODE_TABLE_COLUMNS)
+    return table.join(code, table.natureza_juridica == code.codigo).select(
+        "cnpj_basico", "razao_social", "natureza_juridica", F.col("descricao").alias("natureza_descricao"),
+        CV.to_number("capital_social_str").alias("capital_social"), "ente_federativo_responsavel")
+
+
+def _csv_lines(df):
+    return fixtures.as_text(df).select(F.to_csv(F.struct("*"), {
+        "sep": ";", "quote": '"', "escape": '"'}).alias("line"))
+
+
+@query("json_landed", """
+SELECT c.c_custkey AS c_custkey, c.c_name AS c_name, n.n_name AS state
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+""")
+def q_json_landed(spark, sf):
+    """JSON arrays from landed files; the state is two levels down."""
+    path = scratch_path(spark, "json")
+    cust, nation = load(spark, sf, "customer"), load(spark, sf, "nation")
+    element = F.struct("c_custkey", "c_name", F.struct(F.struct(F.col("n_name").alias("name")).alias("state")).alias("place"))
+    rows = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        (F.col("c_custkey") % 64).alias("file"), element.alias("e"))
+    # One array per file, as the remote service returns them.
+    (rows.groupBy("file").agg(F.to_json(F.collect_list("e")).alias("value"))
+        .write.partitionBy("file").text(path))
+    schema = T.StructType([
+        T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+        T.StructField("place", T.StructType([T.StructField("state", T.StructType([
+            T.StructField("name", T.StringType())]))]))])
+    landed = readers.read_json_array(spark, path, schema)
+    return landed.select("c_custkey", "c_name", F.col("place.state.name").alias("state"))
 
 
 @query("code_table_load", """
@@ -949,27 +1104,26 @@ def q_stream_append_load(spark, sf):
 
 
 @query("write_guard", """
-SELECT c_custkey, c_name, true AS second_write_refused FROM customer
+SELECT *, true AS second_write_refused FROM customer
 """)
 def q_write_guard(spark, sf):
     path = scratch_path(spark, "guarded")
-    cust = load(spark, sf, "customer").select("c_custkey", "c_name")
+    cust = load(spark, sf, "customer")
     writers.guarded_write(cust, path)
     try:
         writers.guarded_write(cust, path)
         refused = False
-    except AnalysisException:
-        refused = True
+    except AnalysisException as e:
+        refused = e.getCondition() == "PATH_ALREADY_EXISTS"
     return spark.read.parquet(path).withColumn("second_write_refused", F.lit(refused))
 
 
 @query("compressed_write", """
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem
+SELECT * FROM lineitem
 """)
 def q_compressed_write(spark, sf):
     path = scratch_path(spark, "zstd")
-    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
-                                            "l_extendedprice")
+    li = load(spark, sf, "lineitem")
     writers.compressed_write(li, path, codec="zstd")
     return spark.read.parquet(path)
 
@@ -992,6 +1146,25 @@ def q_clustered_write(spark, sf):
                  .select("c_custkey", "c_nationkey", "c_mktsegment"))
 
 
+@query("clustered_lookup", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+WHERE c_custkey BETWEEN 100 AND 140
+""")
+def q_clustered_lookup(spark, sf):
+    """A lookup by the key that the layout sorts by: statistics skip the other row groups."""
+    path = scratch_path(spark, "clustered-key")
+    writers.clustered_write(load(spark, sf, "customer"), path, "c_custkey")
+    return spark.read.schema(CUSTOMER_SCHEMA).parquet(path).where(F.col("c_custkey").between(100, 140))
+
+
+@query("describe_customer", _describe_sql("customer", ["c_custkey", "c_nationkey", "c_acctbal"]))
+def q_describe_customer(spark, sf):
+    d = profile.describe(load(spark, sf, "customer"))
+    return d.select("column", "count", R("mean").alias("mean"), R("std").alias("std"), "min",
+                    R("q25").alias("q25"), R("q50").alias("q50"), R("q75").alias("q75"),
+                    "max", "position")
+
+
 @query("dataset_metadata", """
 SELECT 'reference_date' AS referencia, '21/11/2022' AS valor
 UNION ALL SELECT 'row_count', CAST(count(*) AS VARCHAR) FROM orders

@@ -14,27 +14,17 @@ import io
 import zipfile
 
 import pandas as pd
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwise.sources.readers import LATIN1
+from tabwise.sources.readers import LATIN1, task_filesystem
 
 
 def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def _filesystem(uri: str):
-    """(filesystem, path) for a Spark-style URI or a plain local path."""
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file:///" + uri[5:].lstrip("/")
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 def land_delimited(df: DataFrame, path: str, sep: str = ";", encoding: str = LATIN1,
                    mode: str = "overwrite") -> str:
     """Headerless delimited text, standard quoting, in the given encoding."""
@@ -55,7 +45,7 @@ def land_zip_archives(lines: DataFrame, path: str, member_suffix: str,
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
         attempt = ctx.attemptNumber() if ctx else 0
-        fs, root = _filesystem(path)
+        fs, root = task_filesystem(path)
         fs.create_dir(root, recursive=True)
         tmp = f"{root}/.part-{pid:05d}-{attempt}.zip.tmp"
         n = 0
@@ -84,7 +74,7 @@ def land_labelled_files(df: DataFrame, path: str, label: str, name: str, body: s
     def write(batches):
         ctx = TaskContext.get()
         tag = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "0-0"
-        fs, root = _filesystem(path)
+        fs, root = task_filesystem(path)
         made = set()
         n = 0
         for pdf in batches:

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import io
 import zipfile
+from urllib.parse import quote
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,33 +21,89 @@ from tabwise.schemas import CODE_TABLE_COLUMNS, all_text_schema
 LATIN1 = "ISO-8859-1"
 
 
+#: Stands for null while a file is parsed: no cell holds it.
+_NO_TEXT = "\x00null\x00"
+
+
 def read_csv_header(spark: SparkSession, path, schema: T.StructType,
-                    sep: str = ",", null_value: str | None = None) -> DataFrame:
-    """Header CSV with standard quoting (a doubled quote is a literal quote)."""
-    reader = (spark.read.schema(schema).option("header", True).option("sep", sep)
-              .option("quote", '"').option("escape", '"').option("mode", "FAILFAST"))
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    return reader.csv(path)
+                    sep: str = ",", null_value: str | None = None, empty_value: str = "",
+                    multi_line: bool = True) -> DataFrame:
+    """Header CSV with standard quoting (a doubled quote is a literal quote).
+
+    Columns are bound by the names in the header, in whatever order the file has
+    them; a missing name or a file with another header is an error. A quoted empty
+    cell is ``empty_value``, an unquoted one null. Quoted cells may hold newlines
+    unless ``multi_line`` is off, which lets Spark split large files.
+    """
+    def reader():
+        r = (spark.read.option("header", True).option("sep", sep).option("quote", '"')
+             .option("escape", '"').option("multiLine", multi_line).option("emptyValue", empty_value)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+        # By default Spark takes the empty text for null, quoted or not.
+        return r.option("nullValue", _NO_TEXT if null_value is None else null_value)
+
+    header = reader().csv(path).columns  # reads the first line only
+    fields = {f.name: f for f in schema.fields}
+    missing = [n for n in fields if n not in header]
+    if missing:
+        raise ValueError(f"columns not in the header: {missing}")
+    in_file = T.StructType([fields.get(n, T.StructField(n, T.StringType())) for n in header])
+    return (reader().schema(in_file).option("mode", "FAILFAST").option("enforceSchema", False)
+            .csv(path).select(*[F.col(f"`{f.name}`") for f in schema.fields]))
+
+
+#: Where the parser puts the raw line of a row with too few or too many cells.
+_RAW = "_tw_raw"
+REJECTED = "rejected"
+
+
+def delimited_options(sep: str) -> dict:
+    """One set of parser options for files, archives and streams."""
+    return {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": _RAW,
+            # Cells are counted only where all of them are parsed.
+            "columnPruning": "false"}
+
+
+def delimited_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([*all_text_schema(columns).fields, T.StructField(_RAW, T.StringType(), True)])
+
+
+def delimited_rows(parsed: DataFrame, columns: list[str], keep_blanks: bool, ragged: str) -> DataFrame:
+    """The rule for rows with too few or too many cells, the same for every reader.
+
+    ``ragged="fail"`` stops the job at the first one; ``"keep"`` adds a column
+    ``rejected`` with the raw line of such rows (null for good ones).
+    """
+    # Spark refuses to read the raw line alone, so this also reads (nothing of) a cell.
+    raw = F.concat(F.col(_RAW), F.coalesce(F.substring(F.col(f"`{columns[0]}`"), 1, 0), F.lit("")))
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")) if keep_blanks else F.col(f"`{c}`") for c in columns]
+    cells = [c.alias(n) for c, n in zip(cells, columns)]
+    if ragged == "keep":
+        return parsed.select(*cells, raw.alias(REJECTED))
+    if ragged != "fail":
+        raise ValueError(f"ragged must be 'fail' or 'keep', not {ragged!r}")
+    good = F.when(raw.isNull(), F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("row with too few or too many cells: "), raw)).cast("boolean"))
+    return parsed.where(good).select(*cells)
 
 
 def read_delimited_text(spark: SparkSession, path, columns: list[str], sep: str = ";",
                         encoding: str = LATIN1, glob: str | None = None,
-                        keep_blanks: bool = True) -> DataFrame:
+                        keep_blanks: bool = True, ragged: str = "fail",
+                        multi_line: bool = False) -> DataFrame:
     """Headerless delimited extract, every column text, blanks kept as ''.
 
     Files are split into blocks and read in parallel; many files (a folder, a
-    wildcard, or ``glob`` on the file name) union into one table.
+    wildcard, or ``glob`` on the file name) union into one table. Blank lines are
+    no rows. ``multi_line`` allows newlines in quoted cells, and then a file is
+    read by one task. For ``ragged`` see ``delimited_rows``.
     """
-    reader = (spark.read.schema(all_text_schema(columns)).option("header", False)
-              .option("sep", sep).option("encoding", encoding)
-              .option("quote", '"').option("escape", '"'))
+    reader = (spark.read.schema(delimited_schema(columns)).option("header", False)
+              .option("encoding", encoding).option("multiLine", multi_line).options(**delimited_options(sep)))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path)
-    if keep_blanks:
-        df = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
-    return df
+    return delimited_rows(reader.csv(path), columns, keep_blanks, ragged)
 
 
 def read_code_table(spark: SparkSession, path, glob: str | None = None,
@@ -57,11 +115,22 @@ def read_code_table(spark: SparkSession, path, glob: str | None = None,
 _ZIP_LINES_SCHEMA = "archive string, member string, line string"
 
 
-def _unzip_batches(member_suffix: str | None, encoding: str, chunk_bytes: int):
+def task_filesystem(uri: str):
+    """(filesystem, path) inside a task, for a Spark-style URI or a plain local path."""
+    if uri.startswith("file:"):
+        uri = "/" + uri[5:].lstrip("/")
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    scheme, rest = uri.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{scheme}://{quote(rest, safe='/:@')}")
+
+
+def _unzip_paths(member_suffix: str | None, encoding: str, chunk_bytes: int):
     def unzip(batches):
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            for path in pdf["path"]:
+                fs, name = task_filesystem(path)
+                with fs.open_input_file(name) as archive, zipfile.ZipFile(archive) as zf:
                     for member in zf.namelist():
                         if member.endswith("/"):
                             continue
@@ -84,28 +153,28 @@ def read_zip_lines(spark: SparkSession, path, member_suffix: str | None = None,
                    chunk_bytes: int = 16 << 20) -> DataFrame:
     """Lines of the members of zip archives: (archive, member, line).
 
-    A zip archive cannot be split, so each archive is read by one task; lines
-    are emitted in bounded chunks, so an archive never has to fit in memory as
-    text. (``binaryFile`` rows are limited to 2 GB per archive.)
+    Spark lists the archives; the task opens each by its path and reads members
+    as streams, in bounded chunks. So an archive of any size never has to fit in
+    memory, and its bytes never pass through a row. A zip archive cannot be
+    split: one task reads it.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", archive_glob)
-             .load(path).select("path", "content"))
-    # binaryFile packs files into partitions of at most maxPartitionBytes; a large
-    # archive gets a partition of its own. No shuffle of the archive bytes.
-    return files.mapInPandas(_unzip_batches(member_suffix, encoding, chunk_bytes),
+             .load(path).select("path"))
+    return files.mapInPandas(_unzip_paths(member_suffix, encoding, chunk_bytes),
                              _ZIP_LINES_SCHEMA)
 
 
 def parse_delimited_lines(df: DataFrame, line_col: str, columns: list[str],
-                          sep: str = ";", keep_blanks: bool = True) -> DataFrame:
-    """Parse text lines into named all-text columns (built-in ``from_csv``)."""
-    ddl = ", ".join(f"`{c}` STRING" for c in columns)
-    parsed = df.select(F.from_csv(F.col(line_col), ddl,
-                                  {"sep": sep, "quote": '"', "escape": '"'}).alias("_tw_r"))
-    cols = [F.col(f"_tw_r.`{c}`") for c in columns]
-    if keep_blanks:
-        cols = [F.coalesce(c, F.lit("")) for c in cols]
-    return parsed.select(*[c.alias(n) for c, n in zip(cols, columns)])
+                          sep: str = ";", keep_blanks: bool = True, ragged: str = "fail") -> DataFrame:
+    """Parse text lines into named all-text columns (built-in ``from_csv``).
+
+    Blank lines are no rows, as for files; a quoted newline cannot occur in a
+    line. For ``ragged`` see ``delimited_rows``.
+    """
+    ddl = ", ".join(f"`{c}` STRING" for c in [*columns, _RAW])
+    lines = df.where(F.trim(F.col(line_col)) != "")
+    parsed = lines.select(F.from_csv(F.col(line_col), ddl, delimited_options(sep)).alias("_tw_r")).select("_tw_r.*")
+    return delimited_rows(parsed, columns, keep_blanks, ragged)
 
 
 def read_json_array(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
@@ -123,9 +192,12 @@ def json_array_rows(df: DataFrame, column: str, element_ddl: str,
 def json_map_rows(df: DataFrame, column: str, value_ddl: str,
                   keep: list[str] | None = None, key_name: str = "key",
                   value_name: str = "value") -> DataFrame:
-    """Text column holding a JSON object keyed by name -> one (key, value) row per entry."""
+    """Text column holding a JSON object keyed by name -> one (key, value) row per entry.
+
+    A null, malformed or empty document keeps one row, with a null key.
+    """
     m = F.from_json(F.col(column), f"map<string,{value_ddl}>")
-    return df.select(*(keep or []), F.explode(m).alias(key_name, value_name))
+    return df.select(*(keep or []), F.explode_outer(m).alias(key_name, value_name))
 
 
 def read_labelled_files(spark: SparkSession, root, glob: str | None = None,

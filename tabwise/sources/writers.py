@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwise.operators.ordinal import with_ordinal
 from tabwise.schemas import METADATA_COLUMNS
@@ -22,13 +23,16 @@ def export_sheet(df: DataFrame, path: str, order_cols: list,
                  index_name: str = INDEX, single_file: bool = False) -> str:
     """Write a header CSV whose first column is the row ordinal.
 
-    ``single_file`` coalesces to one writer: only for outputs known to be small.
+    Cells come back as they are: padding is kept, an empty text is written in
+    quotes and differs from null, and newlines are quoted. ``single_file``
+    coalesces to one writer: only for outputs known to be small.
     """
     out = with_sheet_index(df, order_cols, index_name)
     if single_file:
         out = out.coalesce(1)
     (out.write.mode("overwrite").option("header", True).option("quote", '"')
-        .option("escape", '"').csv(path))
+        .option("escape", '"').option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
@@ -65,11 +69,15 @@ def clustered_write(df: DataFrame, path: str, key: str, partition_by: list[str]
     Rows are range-partitioned on (partition columns, key) and sorted within each
     task, so each output file covers a narrow key range: Parquet min/max
     statistics then skip row groups for key predicates, and ``partition_by``
-    folders are pruned for predicates on those columns.
+    folders are pruned for predicates on those columns. A hash of the row breaks
+    ties, so the rows of one hot key spread over several files.
     """
     cols = [*(partition_by or []), key]
-    laid = (df.repartitionByRange(num_partitions, *cols) if num_partitions
-            else df.repartitionByRange(*cols)).sortWithinPartitions(*cols)
+    # Maps cannot be hashed; the other columns are enough to part equal keys.
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    order = [*[F.col(f"`{c}`") for c in cols], F.xxhash64(*hashed)]
+    laid = (df.repartitionByRange(num_partitions, *order) if num_partitions
+            else df.repartitionByRange(*order)).sortWithinPartitions(*cols)
     w = laid.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)

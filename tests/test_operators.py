@@ -9,7 +9,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabwise.operators import clean, enrich, filters, ordinal, prepare, profile, summarize
-from tabwise.operators.joins import TooLarge, checked_broadcast
 
 
 def test_with_ordinal_is_consecutive(spark):
@@ -179,12 +178,14 @@ def test_class_split_per_class(spark):
     assert val == ["a_000", "a_001", "a_002", "b_000", "b_001"]  # int(0.3*10)=3, int(0.3*7)=2
 
 
-def test_one_hot_and_bound(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("c",)], "label string")
+def test_one_hot_of_present_missing_and_many_labels(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), (None,)], "label string")
     out = {r.label: r.one_hot for r in prepare.one_hot_labels(df, "label").collect()}
-    assert out == {"a": [1, 0, 0], "b": [0, 1, 0], "c": [0, 0, 1]}
-    with pytest.raises(TooLarge):
-        checked_broadcast(df, 2)
+    assert out == {"a": [1, 0, 0], "b": [0, 1, 0], "c": [0, 0, 1], None: [0, 0, 0]}
+    many = spark.range(0, 12_000).select(F.col("id").alias("label"))
+    at = prepare.class_index(many, "label")
+    assert at.where(F.col("position") == F.col("label")).count() == 12_000
+    assert prepare.one_hot_labels(df.limit(0), "label").count() == 0
 
 
 def test_cell_by_position(spark):
@@ -200,16 +201,74 @@ def test_map_by_lookup_table(spark):
     assert sorted(r.c for r in clean.map_column_by_table(df, "c", lk).collect()) == ["China", "Kazakhstan"]
 
 
-def test_lookup_join_few_keys_path(spark):
-    keys = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "cnpj string")
-    reg = spark.createDataFrame([(str(i), f"n{i}") for i in range(100)], "cnpj string, name string")
-    plain = sorted((tuple(r) for r in enrich.lookup_join(keys, reg, "cnpj").collect()), key=str)
-    few = enrich.lookup_join(keys, reg, "cnpj", max_broadcast_keys=10)
-    assert sorted((tuple(r) for r in few.collect()), key=str) == plain
-    plan = few._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan and "BroadcastExchange" in plan
-    over = enrich.lookup_join(keys, reg, "cnpj", max_broadcast_keys=1)  # bound exceeded
-    assert sorted((tuple(r) for r in over.collect()), key=str) == plain
+def test_lookup_join_pads_both_sides_and_keeps_names_apart(spark):
+    keys = spark.createDataFrame([("191", "BANCO", "DF"), ("0191", "BANCO", "DF"), ("7", None, "AM"), (None, "x", "y")],
+                                 "cnpj string, razao_social string, uf string")
+    reg = spark.createDataFrame([("00000000000191", "BANCO SA", "SP"), (None, "n", "n")],
+                                "cnpj string, razao_social string, uf string")
+    out = enrich.lookup_join(keys, reg, "cnpj", record_col="rec", pad_width=14)
+    sheet = enrich.record_layout(out, [("cnpj", "cnpj", None, False), ("nome", "rec.razao_social", None, True),
+                                       ("uf", "uf", None, False), ("found", "found", None, False)])
+    assert sorted(map(tuple, sheet.collect()), key=str) == sorted([
+        ("00000000000191", "BANCO SA", "DF", True), ("00000000000191", "BANCO SA", "DF", True),
+        ("00000000000007", None, "AM", False), (None, None, "y", False)], key=str)
+    with pytest.raises(ValueError, match="razao_social"):
+        enrich.lookup_join(keys, reg, "cnpj")
+
+
+def test_lookup_join_states_uniqueness(spark):
+    keys = spark.createDataFrame([("1",), ("2",)], "cnpj string")
+    reg = spark.createDataFrame([("1", "b"), ("1", "a")], "cnpj string, name string")
+    assert enrich.lookup_join(keys, reg, "cnpj").count() == 3
+    one = enrich.lookup_join(keys, reg, "cnpj", one_per_key=True)
+    assert sorted(map(tuple, one.collect())) == [("1", "a", True), ("2", None, False)]
+    assert [r.cnpj for r in enrich.duplicate_keys(reg, "cnpj").collect()] == ["1"]
+
+
+def test_dotted_labels_single_columns_and_empty_tables(spark):
+    df = spark.createDataFrame([("a", "Sci.Fi"), ("a", "War"), ("b", "Sci.Fi")], "k string, genre string")
+    table = summarize.pivot_count(df, "k", "genre")
+    rows = {r[0]: r.asDict() for r in summarize.add_margins(table, "k").collect()}
+    assert rows["total"]["Sci.Fi"] == 2 and rows["a"]["Total"] == 2
+    assert tuple(summarize.matrix_range(table, ["Sci.Fi"]).first()) == (1, 1)
+    assert sorted(map(tuple, summarize.pair_counts(df, "k", "genre").collect())) == [
+        ("a", "Sci.Fi", 1), ("a", "War", 1), ("b", "Sci.Fi", 1)]
+    empty = [tuple(r) for r in profile.missing_profile(df.limit(0)).collect()]
+    assert empty == [(0, "k", 0, None), (1, "genre", 0, None)]
+
+
+def test_to_numeric_reads_blank_as_missing(spark):
+    df = spark.createDataFrame([("1,000.5",), ("",), (" ",), (None,), ("'7",)], "v string")
+    assert sorted([r.v for r in clean.to_numeric(df, "v").collect()], key=str) == [1000.5, 7.0, None, None, None]
+
+
+def test_filter_code_reaches_the_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    plan = filters.filter_code(df, "p_size", "11")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(p_size,11)" in plan
+    assert filters.filter_code(df, "p_size", "011").count() == filters.filter_code(df, "p_size", "x").count() == 0
+    assert filters.filter_code(df, "p_size", "99999999999").count() == 0
+
+
+def test_kpis_read_nan_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),)], "v double")
+    assert tuple(summarize.kpis(df, "v").first()) == (1.0, 2, 0.5)
+
+
+def test_exact_quantiles_over_many_partitions(spark):
+    import numpy as np
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        df = spark.range(0, 3001, numPartitions=7).select(
+            (F.col("id") * 37 % 3001).cast("double").alias("v"), (F.col("id") % 3).alias("w"),
+            F.when(F.col("id") < 2, F.col("id")).alias("few"), F.lit(None).cast("double").alias("none"))
+        rows = {r.column: r for r in profile.describe(df).collect()}
+    finally:
+        spark.conf.set(key, "true")
+    for c, data in (("v", range(3001)), ("w", [i % 3 for i in range(3001)]), ("few", [0, 1])):
+        assert [rows[c].q25, rows[c].q50, rows[c].q75] == list(np.quantile(list(data), [0.25, 0.5, 0.75]))
+    assert rows["none"].q50 is None and rows["none"]["count"] == 0
 
 
 def test_describe_approx_close_to_exact(spark):

@@ -140,3 +140,95 @@ def test_stream_append_load_is_incremental(spark, tmp_dir):
 def test_preview_is_bounded(spark):
     pdf = writers.preview(spark.range(1000), 5)
     assert len(pdf) == 5
+
+
+RAGGED = "a;b;c\n\na;b\na;b;c;d\n\"x;y\";;z\n"
+
+
+def test_ragged_rows_follow_one_rule_in_files_archives_and_streams(spark, tmp_dir):
+    files, archives = os.path.join(tmp_dir, "files"), os.path.join(tmp_dir, "archives")
+    os.makedirs(files)
+    os.makedirs(archives)
+    with open(os.path.join(files, "f.csv"), "w") as fh:
+        fh.write(RAGGED)
+    with zipfile.ZipFile(os.path.join(archives, "a.zip"), "w") as zf:
+        zf.writestr("f.csv", RAGGED)
+    cols = ["p", "q", "r"]
+    lines = readers.read_zip_lines(spark, archives)
+    for keep, fail in (
+            (readers.read_delimited_text(spark, files, cols, ragged="keep"), readers.read_delimited_text(spark, files, cols)),
+            (readers.parse_delimited_lines(lines, "line", cols, ragged="keep"), readers.parse_delimited_lines(lines, "line", cols))):
+        rows = keep.collect()
+        assert sorted(r.rejected for r in rows if r.rejected) == ["a;b", "a;b;c;d"]
+        assert sorted((r.p, r.q, r.r) for r in rows if not r.rejected) == [("a", "b", "c"), ("x;y", "", "z")]
+        assert keep.where(F.col("rejected").isNotNull()).select("rejected").count() == 2
+        for action in (fail.count, fail.collect):
+            with pytest.raises(Exception, match="too few or too many cells"):
+                action()
+    target = os.path.join(tmp_dir, "target")
+    stream_append_load(spark, files, cols, target, os.path.join(tmp_dir, "ckpt"), ragged="keep")
+    assert spark.read.parquet(target).where("rejected is not null").count() == 2
+
+
+def test_quoted_newlines_in_a_file(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "f.csv"), "w") as fh:
+        fh.write('a;"two\nlines"\nb;c\n')
+    got = readers.read_delimited_text(spark, tmp_dir, ["k", "v"], multi_line=True).collect()
+    assert sorted(map(tuple, got)) == [("a", "two\nlines"), ("b", "c")]
+
+
+def test_header_csv_is_bound_by_name(spark, tmp_dir):
+    from pyspark.sql import types as T
+    path = os.path.join(tmp_dir, "e.csv")
+    with open(path, "w") as fh:
+        fh.write("uf,extra,cnpj\nAM,7,00000000000001\n")
+    schema = T.StructType([T.StructField("cnpj", T.StringType()), T.StructField("uf", T.StringType())])
+    assert [tuple(r) for r in readers.read_csv_header(spark, path, schema).collect()] == [("00000000000001", "AM")]
+    with pytest.raises(ValueError, match="nome"):
+        readers.read_csv_header(spark, path, schema.add("nome", T.StringType()))
+
+
+def test_export_brings_cells_back(spark, tmp_dir):
+    from pyspark.sql import types as T
+    cells = ["  pad ", "", None, "two\nlines", 'quo"te', "a,b"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "k int, v string")
+    path = writers.export_sheet(df, os.path.join(tmp_dir, "sheet"), ["k"])
+    schema = T.StructType([T.StructField("index", T.LongType()), *df.schema.fields])
+    got = sorted(map(tuple, readers.read_csv_header(spark, path, schema).collect()))
+    assert got == [(i, i, c) for i, c in enumerate(cells)]
+
+
+def test_clustered_write_splits_a_hot_key(spark, tmp_dir):
+    df = spark.range(0, 20_000, numPartitions=4).select(
+        F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    path = writers.clustered_write(df, os.path.join(tmp_dir, "t"), "k", num_partitions=8)
+    table = spark.read.parquet(path)
+    per_file = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == 20_000 and max(per_file) < 5_000
+    plan = table.where("k = '77'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(k,77)" in plan
+
+
+def test_json_map_keeps_documents_without_entries(spark):
+    df = spark.createDataFrame([(1, '{"a": 1}'), (2, None), (3, "{bad"), (4, "{}")], "id int, j string")
+    rows = readers.json_map_rows(df, "j", "int", keep=["id"]).collect()
+    assert sorted((r.id, r.key, r.value) for r in rows) == [(1, "a", 1), (2, None, None), (3, None, None), (4, None, None)]
+
+
+def test_archives_are_opened_by_path(spark, tmp_dir):
+    with zipfile.ZipFile(os.path.join(tmp_dir, "a b.zip"), "w") as zf:
+        zf.writestr("m", "x\n")
+    lines = readers.read_zip_lines(spark, tmp_dir)
+    assert "content" not in lines._jdf.queryExecution().executedPlan().toString()
+    assert [r.line for r in lines.collect()] == ["x"]
+
+
+def test_scratch_is_a_fresh_place_and_can_be_dropped(spark):
+    from tabwise.session import drop_scratch, scratch_path
+    a, b = scratch_path(spark, "t"), scratch_path(spark, "t")
+    assert a != b
+    spark.range(3).write.parquet(a)
+    assert spark.read.parquet(a).count() == 3
+    drop_scratch(spark, a)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(a)

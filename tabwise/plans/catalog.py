@@ -911,8 +911,9 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 def q_scan_csv_header(spark, sf):
     path = scratch_path(spark, "customer-csv")
     # The file has another column order than the schema asks for.
-    (load(spark, sf, "customer").select("c_mktsegment", "c_acctbal", "c_name", "c_custkey", "c_nationkey")
-        .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    turned = load(spark, sf, "customer").select("c_mktsegment", "c_acctbal", "c_name", "c_custkey", "c_nationkey")
+    with fixtures.landing():
+        turned.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     return readers.read_csv_header(spark, path, CUSTOMER_SCHEMA)
 
 
@@ -965,8 +966,9 @@ def q_scan_rejects(spark, sf):
     path = scratch_path(spark, "ragged")
     li = load(spark, sf, "lineitem")
     tail = F.when(F.col("l_linenumber") == 1, "").when(F.col("l_linenumber") == 2, ";3;4").otherwise(";x")
-    li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit(";"), F.col("l_partkey").cast("string"), tail)
-              ).write.text(path)
+    with fixtures.landing():
+        li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit(";"), F.col("l_partkey").cast("string"), tail)
+                  ).write.text(path)
     landed = readers.read_delimited_text(spark, path, ["a", "b", "c"], ragged="keep")
     return landed.where(F.col("rejected").isNotNull()).select("rejected")
 
@@ -1016,8 +1018,9 @@ def q_json_landed(spark, sf):
     rows = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
         (F.col("c_custkey") % 64).alias("file"), element.alias("e"))
     # One array per file, as the remote service returns them.
-    (rows.groupBy("file").agg(F.to_json(F.collect_list("e")).alias("value"))
-        .write.partitionBy("file").text(path))
+    with fixtures.landing():
+        (rows.groupBy("file").agg(F.to_json(F.collect_list("e")).alias("value"))
+            .write.partitionBy("file").text(path))
     schema = T.StructType([
         T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
         T.StructField("place", T.StructType([T.StructField("state", T.StructType([

@@ -39,11 +39,11 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def group_mean(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
-    """Mean per group, largest first on the first measure."""
+def group_mean(df: DataFrame, by: str, columns: list[str], ordered: bool = True) -> DataFrame:
+    """Mean per group, largest first on the first measure (``ordered=False``: no sort)."""
     out = _non_null(df, by).groupBy(by).agg(
         *[F.avg(_measure(df, c)).alias(c) for c in columns])
-    return out.orderBy(F.desc_nulls_last(columns[0]), F.asc(by))
+    return out if not ordered else out.orderBy(F.desc_nulls_last(columns[0]), F.asc(by))
 
 
 def group_sum(df: DataFrame, by: str, columns: list[str]) -> DataFrame:

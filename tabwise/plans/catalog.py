@@ -435,7 +435,7 @@ SELECT c_nationkey, CAST(trunc(avg(c_acctbal)) AS BIGINT) AS mean_balance
 FROM customer GROUP BY c_nationkey
 """)
 def q_truncate_int(spark, sf):
-    means = summarize.group_mean(load(spark, sf, "customer"), "c_nationkey", ["c_acctbal"])
+    means = summarize.group_mean(load(spark, sf, "customer"), "c_nationkey", ["c_acctbal"], ordered=False)
     return means.select("c_nationkey", CV.truncate_int("c_acctbal").alias("mean_balance"))
 
 
@@ -463,6 +463,21 @@ def q_map_values(spark, sf):
     return clean.map_column(o, "priority", PRIORITY_NAMES)
 
 
+_SITES = [*CV.LAUNCH_SITE_COUNTRIES, "Kazakhstan"]
+
+
+@query("map_launch_sites", f"""
+SELECT o_orderkey, CASE site {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in CV.LAUNCH_SITE_COUNTRIES.items())}
+       ELSE site END AS country
+FROM (SELECT o_orderkey, [{', '.join(f"'{x}'" for x in _SITES)}][CAST(o_orderkey % {len(_SITES)} AS INTEGER) + 1] AS site
+      FROM orders)
+""")
+def q_map_launch_sites(spark, sf):
+    site = F.element_at(F.array(*[F.lit(x) for x in _SITES]), (F.col("o_orderkey") % len(_SITES) + 1).cast("int"))
+    o = load(spark, sf, "orders").select("o_orderkey", site.alias("country"))
+    return clean.map_column(o, "country", CV.LAUNCH_SITE_COUNTRIES)
+
+
 @query("cell_update", """
 SELECT c_custkey, CASE WHEN c_custkey = 42 THEN 'AUTOMOBILE' ELSE c_mktsegment END AS c_mktsegment
 FROM customer
@@ -503,7 +518,7 @@ SELECT c_nationkey, {r('avg(c_acctbal)')} AS c_acctbal FROM customer
 WHERE c_nationkey IS NOT NULL GROUP BY c_nationkey
 """)
 def q_group_mean(spark, sf):
-    m = summarize.group_mean(load(spark, sf, "customer"), "c_nationkey", ["c_acctbal"])
+    m = summarize.group_mean(load(spark, sf, "customer"), "c_nationkey", ["c_acctbal"], ordered=False)
     return m.select("c_nationkey", R("c_acctbal").alias("c_acctbal"))
 
 

@@ -13,13 +13,3 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_views(spark: SparkSession, sf_dir: str, prefix: str = "tw_") -> dict[str, str]:
-    """Temp views ``<prefix><table>`` for SQL entry points; returns the name map."""
-    names = {}
-    for t in TABLES:
-        view = prefix + t
-        load(spark, sf_dir, t).createOrReplaceTempView(view)
-        names[t] = view
-    return names

@@ -51,6 +51,7 @@ CODE_TABLE_SUFFIXES = {
 # Large-table file suffixes.
 LARGE_TABLE_SUFFIXES = {
     "empresas": ".EMPRECSV", "estabelecimento": ".ESTABELE", "socios": ".SOCIOCSV",
+    "simples": ".SIMPLES.CSV",
 }
 # ---------------------------------------------------------------------------
 

@@ -1,10 +1,11 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents are labelled.
 
 A sentence's probability comes from the words in it: every distinct word adds the
-weights of its subwords (itself and its character n-grams, edges included). A document's is the noisy-or of its sentences,
-``1 - prod(1 - p)``, so one bad sentence is enough, and training from document
-labels alone finds which sentences these are. What a sentence without any
-evidence would get is taken off first, so length alone never makes a text toxic.
+weights of its subwords (itself and its character n-grams, edges included). A
+document's is the noisy-or of its sentences, ``1 - prod(1 - p)``, so one bad
+sentence is enough, and training from document labels alone finds which sentences
+these are. What a sentence without any evidence would get is taken off first, so
+length alone never makes a text toxic.
 
 The model is fitted with numpy on a bounded sample of labelled rows
 (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``, the rows with the smallest hashes of their
@@ -18,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -181,15 +183,18 @@ def _score(model: Model, offending: float):
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int]) -> pd.DataFrame:
     """Texts and labels of a bounded sample: per label value, the rows with the smallest hashes of their ids.
 
-    Rows without the label, an id or a document are left out; an id with several
-    labels has the largest.
+    The ids are picked from the labels alone and sent to the documents' scan
+    (``sizes`` bounds them), so no text is shuffled but the sample's. Rows without
+    the label or an id are left out, and so are ids without a document; an id with
+    several labels has the largest, one with several texts the smallest.
     """
     one = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(*sizes))
            .groupBy(F.col("doc_id").alias("of")).agg(F.max(label).cast("int").alias("label")))
-    texts = docs.select("doc_id", "text").join(one, F.col("doc_id") == F.col("of"))
-    parts = [texts.filter(F.col("label") == value).select("doc_id", "label", "text")
-             .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(n).toPandas() for value, n in sizes.items()]
-    return pd.concat(parts, ignore_index=True)
+    picked = reduce(DataFrame.unionByName, [
+        one.filter(F.col("label") == value).orderBy(F.xxhash64("of"), "of").limit(n) for value, n in sizes.items()])
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("of"))
+    return (texts.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
+            .orderBy(F.desc("label"), F.xxhash64("doc_id"), "doc_id").toPandas())
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Model:

@@ -3,12 +3,11 @@
 One hash of every shingle splits the shingles into ``BINS`` bins and gives each
 bin's minimum (one permutation). Empty bins borrow from a bin that optimal
 densification picks by hashing (bin, attempt), the same way for every document.
-Bands of bins are buckets. Inside a bucket every member is paired with one
-centre only, so a bucket of n members gives n - 1 candidates, not n(n-1)/2.
-
-Two widths of bands are used. Narrow bands find pairs at the threshold; wide
-bands split the large buckets of related texts, so that members also meet centres
-closer to them. Centres are the smallest by a hash that differs by width.
+Bands of bins are buckets, narrow ones for recall and wide ones that part the
+large buckets of related texts. Inside a bucket every member is paired with one
+centre only, so a bucket of n members gives n - 1 candidates, not n(n-1)/2. After
+the confirmed links have been joined into groups, members that are not in their
+centre's group meet another centre, until a turn brings no new link.
 
 Documents with the same set of shingles are one class from the start, so copies
 cost nothing beyond an aggregate. Candidates are confirmed on the full sets.
@@ -124,26 +123,30 @@ def sketches(docs: DataFrame, shingle: int, narrow: Bands = NARROW, wide: Bands
                             "narrow array<long>, wide array<long>")
 
 
-def _stars(classes: DataFrame, bands: str, seed: int) -> DataFrame:
-    """Candidate pairs (cls, centre): every member of a bucket with the bucket's centre."""
-    members = classes.select("cls", F.xxhash64("cls", F.lit(seed)).alias("rank"), F.explode(bands).alias("bucket"))
-    centres = (members.groupBy("bucket").agg(F.min(F.struct("rank", "cls")).alias("least"), F.count(F.lit(1)).alias("n"))
-               .filter(F.col("n") > 1).select("bucket", F.col("least.cls").alias("centre")))
-    return members.join(centres, "bucket").filter(F.col("cls") != F.col("centre")).select("cls", "centre")
+def _shared_buckets(classes: DataFrame) -> DataFrame:
+    """(cls, bucket) of the buckets with two classes or more."""
+    parts = []
+    for bands in ("narrow", "wide"):
+        members = classes.select("cls", F.explode(bands).alias("bucket"))
+        several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("bucket")
+        parts.append(members.join(several, "bucket").select("cls", "bucket"))
+    return parts[0].unionByName(parts[1])
 
 
-def confirmed_links(docs: DataFrame, classes: DataFrame, shingle: int, threshold: int = THRESHOLD) -> DataFrame:
-    """Links (a, b) between classes whose full sets are similar enough."""
-    pairs = _stars(classes, "narrow", 1).unionByName(_stars(classes, "wide", 2))
-    pairs = durable(pairs.select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct())
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    members = classes.join(needed, "cls").select("cls", "rep_id", "rep_text")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    # A representative that occurs in several equal rows is one set: first() of equal texts.
-    with_text = (texts.join(members, F.col("doc_id").eqNullSafe(F.col("rep_id"))
-                            & (F.col("text_key") == F.col("rep_text")))
-                 .select("cls", "text").dropDuplicates(["cls"]))
-    sets = durable(with_text.mapInPandas(_sets(shingle), "cls long, shingles array<long>"))
+def _stars(members: DataFrame, turn: int) -> DataFrame:
+    """Candidate pairs (a, b): every member of a bucket with its centre, if their groups differ.
+
+    The centre is the smallest by a hash that changes with the turn.
+    """
+    centres = members.groupBy("bucket").agg(F.min(F.struct(
+        F.xxhash64("cls", F.lit(turn)).alias("rank"), F.col("cls").alias("centre"),
+        F.col("component").alias("centre_component"))).alias("c")).select("bucket", "c.centre", "c.centre_component")
+    return (members.join(centres, "bucket").filter(F.col("component") != F.col("centre_component"))
+            .select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct())
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -154,6 +157,39 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, shingle: int, threshold
     return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b")
 
 
+def linked_classes(docs: DataFrame, classes: DataFrame, shingle: int, threshold: int = THRESHOLD) -> DataFrame:
+    """node, component of the classes that are linked with any other.
+
+    Turn by turn, members of a bucket meet a new centre unless they are already
+    in its group, until a turn has no pair left or confirms none. Each turn gives
+    one pair per member and bucket at most, and only for what is not yet linked.
+    """
+    shared = durable(_shared_buckets(classes))
+    needed = shared.select("cls").distinct()
+    members = classes.join(needed, "cls").select("cls", "rep_id", "rep_text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    # A representative that occurs in several equal rows is one set: first() of equal texts.
+    with_text = (texts.join(members, F.col("doc_id").eqNullSafe(F.col("rep_id"))
+                            & (F.col("text_key") == F.col("rep_text")))
+                 .select("cls", "text").dropDuplicates(["cls"]))
+    sets = durable(with_text.mapInPandas(_sets(shingle), "cls long, shingles array<long>"))
+    groups = links = tested = None
+    turn = 1
+    while True:
+        labelled = shared.withColumn("component", F.col("cls")) if groups is None else (
+            shared.join(groups, F.col("cls") == F.col("node"), "left")
+            .select("cls", "bucket", F.coalesce("component", "cls").alias("component")))
+        pairs = _stars(labelled, turn)
+        pairs = durable(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        found = durable(_confirm(pairs, sets, threshold))
+        if turn > 1 and not found.limit(1).count():
+            return groups
+        links = found if links is None else links.unionByName(found)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        groups = durable(components(links))
+        turn += 1
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, kept: one row per input row.
 
@@ -177,7 +213,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOL
                .select("cls", "set_a", "set_b", "n_shingles", "least_id", F.col("rep.id").alias("rep_id"),
                        F.col("rep.text").alias("rep_text"), "narrow", "wide"))
     classes = durable(classes)
-    groups = components(confirmed_links(docs, classes, shingle, threshold))
+    groups = linked_classes(docs, classes, shingle, threshold)
     named = (classes.join(groups, F.col("cls") == F.col("node"), "left")
              .select("cls", "least_id", F.coalesce("component", "cls").alias("component")))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))

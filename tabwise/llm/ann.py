@@ -156,9 +156,10 @@ def nearest(index: DataFrame, queries: DataFrame, k: int = 5, bound: float = BOU
     """
     parts = _dealt(_usable(queries), "part", block).groupBy("dim", "part").applyInPandas(
         _query_block, "dim int, part long, query_ids binary, queries binary")
-    blocks = index.select("dim", "block").distinct()
-    # Every block meets every part of the queries, spread by block.
-    meets = parts.join(blocks, "dim").join(index, ["dim", "block"])
+    last = index.agg(F.coalesce(F.max("block"), F.lit(0))).first()[0]
+    # Every part of the queries goes to every block, spread by block.
+    sent = parts.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))))
+    meets = sent.join(index, ["dim", "block"])
     hits = meets.mapInPandas(_search(k, bound), "query_id long, vec_id long, score double").dropDuplicates(
         ["query_id", "vec_id", "score"])
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -194,19 +194,23 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -
         F.struct(F.lit(i).alias("_tw_cid"), F.lit(c).alias("column"),
                  F.col(f"_tw_lo{i}").alias("_tw_mn"), F.col(f"_tw_hi{i}").alias("_tw_mx"))
         for i, c in enumerate(cols)]))
-    same = F.col("_tw_mx") == F.col("_tw_mn")
-    ranges = (ranges
-              .withColumn("bin_lo0", F.when(same, F.col("_tw_mn") - 0.5).otherwise(F.col("_tw_mn")))
-              .withColumn("bin_hi0", F.when(same, F.col("_tw_mx") + 0.5).otherwise(F.col("_tw_mx")))
-              .withColumn("_tw_step", (F.col("bin_hi0") - F.col("bin_lo0")) / F.lit(bins))
-              .select("_tw_cid", "column", "bin_lo0", "bin_hi0", "_tw_step"))
-    # One row per column: a bounded broadcast.
-    binned = _long_values(df, cols).join(F.broadcast(ranges.drop("column")), "_tw_cid")
-    edge = lambda i: F.lit(i) * F.col("_tw_step") + F.col("bin_lo0")
-    bin_no = F.lit(1)
-    for i in range(1, bins):
-        bin_no = bin_no + (F.col("value") >= edge(i)).cast("int")
-    counts = binned.groupBy("_tw_cid", bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    def widened(low, high):
+        same = high == low
+        first, last = F.when(same, low - 0.5).otherwise(low), F.when(same, high + 0.5).otherwise(high)
+        return first, last, (last - first) / F.lit(bins)
+
+    first, last, step = widened(F.col("_tw_mn"), F.col("_tw_mx"))
+    ranges = ranges.select("_tw_cid", "column", first.alias("bin_lo0"), last.alias("bin_hi0"), step.alias("_tw_step"))
+    # The ranges of all columns are one row: a bounded broadcast, and one pass.
+    cells = []
+    for i, c in enumerate(cols):
+        value = _present(df, c).cast("double")
+        low, _, width = widened(F.col(f"_tw_lo{i}"), F.col(f"_tw_hi{i}"))
+        reached = [(value >= F.lit(k) * width + low).cast("int") for k in range(1, bins)]
+        bin_no = reduce(lambda x, y: x + y, reached, F.lit(1))
+        cells.append(F.struct(F.lit(i).alias("_tw_cid"), F.when(value.isNotNull(), bin_no).alias("bin")))
+    binned = df.crossJoin(F.broadcast(rng_wide)).select(F.inline(F.array(*cells))).where(F.col("bin").isNotNull())
+    counts = binned.groupBy("_tw_cid", "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = ranges.crossJoin(F.broadcast(
         df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))))
     out = grid.join(counts, ["_tw_cid", "bin"], "left").fillna(0, subset=["count"])

@@ -5,9 +5,11 @@ bin's minimum (one permutation). Empty bins borrow from a bin that optimal
 densification picks by hashing (bin, attempt), the same way for every document.
 Bands of bins are buckets, narrow ones for recall and wide ones that part the
 large buckets of related texts. Inside a bucket every member is paired with one
-centre only, so a bucket of n members gives n - 1 candidates, not n(n-1)/2. After
-the confirmed links have been joined into groups, members that are not in their
-centre's group meet another centre, until a turn brings no new link.
+centre only, so a bucket of n members gives n - 1 candidates, not n(n-1)/2. The
+centre is the member that shares the most buckets, as the text does that others
+were made from. After the confirmed links have been joined into groups, members
+that are not in their centre's group meet other centres, until a turn brings no
+new link.
 
 Documents with the same set of shingles are one class from the start, so copies
 cost nothing beyond an aggregate. Candidates are confirmed on the full sets.
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwise.llm.common import durable, table
@@ -124,25 +126,36 @@ def sketches(docs: DataFrame, shingle: int, narrow: Bands = NARROW, wide: Bands
 
 
 def _shared_buckets(classes: DataFrame) -> DataFrame:
-    """(cls, bucket) of the buckets with two classes or more."""
+    """(cls, n_shingles, bucket, wide, company) of the buckets with two classes or more.
+
+    ``company`` is the number of members over all buckets of the class: of related
+    texts, the one that the others were made from shares the most buckets.
+    """
     parts = []
     for bands in ("narrow", "wide"):
-        members = classes.select("cls", F.explode(bands).alias("bucket"))
-        several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("bucket")
-        parts.append(members.join(several, "bucket").select("cls", "bucket"))
-    return parts[0].unionByName(parts[1])
+        members = classes.select("cls", "n_shingles", F.explode(bands).alias("bucket"))
+        several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        parts.append(members.join(several, "bucket").select(
+            "cls", "n_shingles", "bucket", F.lit(bands == "wide").alias("wide"), "n"))
+    shared = durable(parts[0].unionByName(parts[1]))
+    company = shared.groupBy("cls").agg(F.sum("n").alias("company"))
+    return shared.drop("n").join(company, "cls")
 
 
-def _stars(members: DataFrame, turn: int) -> DataFrame:
-    """Candidate pairs (a, b): every member of a bucket with its centre, if their groups differ.
+def _stars(members: DataFrame, rank: Column, threshold: int) -> DataFrame:
+    """Candidate pairs (a, b, and their groups ga, gb): every member of a bucket with its centre.
 
-    The centre is the smallest by a hash that changes with the turn.
+    The centre is the smallest by ``rank``. Pairs within a group are left out, and
+    set sizes alone rule out those that cannot be similar enough.
     """
     centres = members.groupBy("bucket").agg(F.min(F.struct(
-        F.xxhash64("cls", F.lit(turn)).alias("rank"), F.col("cls").alias("centre"),
-        F.col("component").alias("centre_component"))).alias("c")).select("bucket", "c.centre", "c.centre_component")
-    return (members.join(centres, "bucket").filter(F.col("component") != F.col("centre_component"))
-            .select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct())
+        rank.alias("rank"), F.col("cls").alias("centre"),
+        F.col("component").alias("centre_component"), F.col("n_shingles").alias("centre_n"))).alias("c")).select(
+        "bucket", "c.centre", "c.centre_component", "c.centre_n")
+    sizes = (100 * F.least("n_shingles", "centre_n") >= threshold * F.greatest("n_shingles", "centre_n"))
+    return (members.join(centres, "bucket").filter((F.col("component") != F.col("centre_component")) & sizes)
+            .select(F.col("cls").alias("a"), F.col("centre").alias("b"), F.col("component").alias("ga"),
+                    F.col("centre_component").alias("gb")).dropDuplicates(["a", "b"]))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -151,43 +164,48 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - both
-    # Sizes alone rule out many pairs before any set is compared.
-    near = ((100 * F.least(F.size("sa"), F.size("sb")) >= threshold * F.greatest(F.size("sa"), F.size("sb")))
-            & (100 * both >= threshold * union))
-    return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b")
+    return (pairs.join(left, "a").join(right, "b").filter(100 * both >= threshold * union)
+            .select("a", "b", "ga", "gb"))
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, shingle: int, threshold: int = THRESHOLD) -> DataFrame:
     """node, component of the classes that are linked with any other.
 
-    Turn by turn, members of a bucket meet a new centre unless they are already
-    in its group, until a turn has no pair left or confirms none. Each turn gives
-    one pair per member and bucket at most, and only for what is not yet linked.
+    The first two turns make the member with the most company the centre, of the
+    wide bands (the closest texts, few pairs), then of all. After that centres
+    change from bucket to bucket and from turn to turn, until a turn confirms no
+    pair. Each turn gives one pair per member and bucket at most, and only for
+    what is not yet linked.
     """
     shared = durable(_shared_buckets(classes))
-    needed = shared.select("cls").distinct()
-    members = classes.join(needed, "cls").select("cls", "rep_id", "rep_text")
+    groups = durable(shared.select(F.col("cls").alias("node")).distinct().withColumn("component", F.col("node")))
+    members = classes.join(groups, F.col("cls") == F.col("node")).select("cls", "rep_id", "rep_text")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     # A representative that occurs in several equal rows is one set: first() of equal texts.
     with_text = (texts.join(members, F.col("doc_id").eqNullSafe(F.col("rep_id"))
                             & (F.col("text_key") == F.col("rep_text")))
                  .select("cls", "text").dropDuplicates(["cls"]))
     sets = durable(with_text.mapInPandas(_sets(shingle), "cls long, shingles array<long>"))
-    groups = links = tested = None
-    turn = 1
+    active, tested, turn = shared.withColumn("component", F.col("cls")), None, 0
     while True:
-        labelled = shared.withColumn("component", F.col("cls")) if groups is None else (
-            shared.join(groups, F.col("cls") == F.col("node"), "left")
-            .select("cls", "bucket", F.coalesce("component", "cls").alias("component")))
-        pairs = _stars(labelled, turn)
+        turn += 1
+        rank = -F.col("company") if turn <= 2 else F.xxhash64("cls", "bucket", F.lit(turn))
+        pairs = _stars(active.filter("wide") if turn == 1 else active, rank, threshold)
         pairs = durable(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         found = durable(_confirm(pairs, sets, threshold))
-        if turn > 1 and not found.limit(1).count():
+        if turn > 2 and not found.limit(1).count():
             return groups
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        groups = durable(components(links))
-        turn += 1
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        # Only the groups that the new links join change their names.
+        renamed = durable(components(found.select(F.col("ga").alias("a"), F.col("gb").alias("b")))
+                          .select(F.col("node").alias("component"), F.col("component").alias("renamed")))
+        name = F.coalesce("renamed", "component")
+        groups = durable(groups.join(renamed, "component", "left").select("node", name.alias("component")))
+        active = active.join(renamed, "component", "left").withColumn("component", name).drop("renamed")
+        # A bucket within one group is done with, and groups never part.
+        mixed = active.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
+            "low < high").select("bucket")
+        active = durable(active.join(mixed, "bucket", "left_semi"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD) -> DataFrame:

@@ -84,7 +84,7 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for b in _buckets(text, hasher):
                     total += np.bincount(b, minlength=BUCKETS)
                 found = np.flatnonzero(total)
-                rows.append((label, found.astype(np.int32), total[found].astype(np.int32)))
+                rows.append((label, found.astype(np.int32).tobytes(), total[found].astype(np.int32).tobytes()))
             yield pd.DataFrame(rows, columns=["label", "buckets", "counts"])
 
 
@@ -145,8 +145,9 @@ def train(docs: DataFrame, labels: DataFrame, low: int = SAMPLE_LOW, high: int =
     if not len(sample):
         return fit([], prior)
     frame = spark.createDataFrame(sample[["label", "text"]], "label int, text string")
-    counted = frame.mapInPandas(_counts, "label int, buckets array<int>, counts array<int>").toPandas()
-    return fit(list(zip(counted["label"], counted["buckets"], counted["counts"])), prior)
+    counted = frame.mapInPandas(_counts, "label int, buckets binary, counts binary").collect()
+    return fit([(r["label"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32))
+                for r in counted], prior)
 
 
 def _score(model: Model):

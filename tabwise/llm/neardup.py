@@ -41,6 +41,10 @@ class Bands:
     rows: int
 
 
+#: Another turn of centres is worth it while one pair in so many is a link.
+WORTH = 10
+#: Classes with the same rare shingle that meet in one place; more are dealt out.
+CHUNK = 1024
 #: At a similarity of 0.8 a pair shares no narrow band with probability 2e-6.
 NARROW = Bands(32, 5)
 WIDE = Bands(16, 10)
@@ -168,14 +172,79 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             .select("a", "b", "ga", "gb"))
 
 
+def _rarest(active: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """cls, component, n, pos, shingle, indexed: of every class left, its rarest shingles.
+
+    The order is the same for all: first what occurs in one group only (it links
+    nothing and is not listed), then by the number of classes. A pair of the
+    threshold shares a shingle of the first n - ceil(t n) + 1 of the larger set and
+    the first n - ceil(2t / (1 + t) n) + 1 (``indexed``) of the smaller one.
+    """
+    left = active.select("cls", "component").distinct()
+    each = sets.join(left, "cls").select("cls", "component", F.size("shingles").alias("n"),
+                                         F.explode("shingles").alias("shingle"))
+    several = each.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("classes"), F.min("component").alias("low"), F.max("component").alias("high")).filter(
+        "low < high").select("shingle", "classes")
+    ranked = each.join(several, "shingle").groupBy("cls", "component", "n").agg(
+        F.array_sort(F.collect_list(F.struct("classes", "shingle"))).alias("ranked"))
+    before = F.col("n") - F.size("ranked")
+    first = F.expr(f"n - int(({threshold} * n + 99) div 100) + 1")
+    indexed = F.expr(f"n - int((2 * {threshold} * n + {99 + threshold}) div {100 + threshold}) + 1")
+    kept = F.slice("ranked", F.lit(1), F.greatest(first - before, F.lit(0)))
+    return (ranked.select("cls", "component", "n", before.alias("before"), F.posexplode(kept).alias("k", "r"))
+            .withColumn("pos", F.col("before") + F.col("k"))
+            .select("cls", "component", "n", "pos", F.col("r.shingle").alias("shingle"),
+                    (F.col("pos") < indexed).alias("indexed")))
+
+
+def _exact(active: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Candidate pairs (a, b, ga, gb) with every pair of the threshold in different groups.
+
+    Two classes of one group never meet: of each shingle, those of its largest
+    group meet only the others. The classes of a frequent shingle are dealt out in
+    chunks, each chunk of larger sets with each of smaller ones. Set sizes and the
+    places of the shared shingles rule out most pairs.
+    """
+    rarest = durable(_rarest(active, sets, threshold))
+    of_group = rarest.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
+    spread = of_group.groupBy("shingle").agg(
+        F.max_by("component", F.struct("size", "component")).alias("largest"), F.sum("size").alias("size"),
+        F.count(F.lit(1)).alias("groups")).filter("groups > 1").select(
+        "shingle", "largest", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
+    rows = rarest.join(spread, "shingle").withColumn("other", F.col("component") != F.col("largest")).withColumn(
+        "own", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    # Meeting 0: smaller sets outside the largest group with all; meeting 1: those inside it with the others.
+    larger = rows.select(
+        "shingle", F.col("cls").alias("a"), F.col("component").alias("ga"), F.col("n").alias("na"),
+        F.col("pos").alias("pa"), F.col("own").alias("ca"), "other", every.alias("cb")).select(
+        "*", F.explode(F.when(F.col("other"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("meeting"))
+    smaller = rows.filter("indexed").select(
+        "shingle", F.col("cls").alias("b"), F.col("component").alias("gb"), F.col("n").alias("nb"),
+        F.col("pos").alias("pb"), F.col("own").alias("cb"), F.when(F.col("other"), 0).otherwise(1).alias("meeting"),
+        every.alias("ca"))
+    needed = threshold * (F.col("na") + F.col("nb"))
+    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    met = larger.drop("other").join(smaller, ["shingle", "meeting", "ca", "cb"]).filter(
+        (F.col("ga") != F.col("gb"))
+        & ((F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a"))))
+        & (100 * F.col("nb") >= threshold * F.col("na")) & ((100 + threshold) * rest >= needed))
+    # Shared so far, and what can follow the last shared place.
+    most = F.col("shared") - 1 + rest
+    return (met.groupBy("a", "b", "ga", "gb", "na", "nb")
+            .agg(F.count(F.lit(1)).alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+            .filter((100 + threshold) * most >= needed).select("a", "b", "ga", "gb"))
+
+
 def linked_classes(docs: DataFrame, classes: DataFrame, shingle: int, threshold: int = THRESHOLD) -> DataFrame:
     """node, component of the classes that are linked with any other.
 
     The first two turns make the member with the most company the centre, of the
     wide bands (the closest texts, few pairs), then of all. After that centres
-    change from bucket to bucket and from turn to turn, until a turn confirms no
-    pair. Each turn gives one pair per member and bucket at most, and only for
-    what is not yet linked.
+    change from bucket to bucket and from turn to turn, while one pair in ``WORTH``
+    is confirmed. Each turn gives one pair per member and bucket at most, and only
+    for what is not yet linked. The last turn joins what is left exactly.
     """
     shared = durable(_shared_buckets(classes))
     groups = durable(shared.select(F.col("cls").alias("node")).distinct().withColumn("component", F.col("node")))
@@ -186,26 +255,30 @@ def linked_classes(docs: DataFrame, classes: DataFrame, shingle: int, threshold:
                             & (F.col("text_key") == F.col("rep_text")))
                  .select("cls", "text").dropDuplicates(["cls"]))
     sets = durable(with_text.mapInPandas(_sets(shingle), "cls long, shingles array<long>"))
-    active, tested, turn = shared.withColumn("component", F.col("cls")), None, 0
+    active, tested, turn, last = shared.withColumn("component", F.col("cls")), None, 0, False
     while True:
         turn += 1
         rank = -F.col("company") if turn <= 2 else F.xxhash64("cls", "bucket", F.lit(turn))
-        pairs = _stars(active.filter("wide") if turn == 1 else active, rank, threshold)
+        pairs = _exact(active, sets, threshold) if last else _stars(
+            active.filter("wide") if turn == 1 else active, rank, threshold)
         pairs = durable(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         found = durable(_confirm(pairs, sets, threshold))
-        if turn > 2 and not found.limit(1).count():
-            return groups
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         # Only the groups that the new links join change their names.
         renamed = durable(components(found.select(F.col("ga").alias("a"), F.col("gb").alias("b")))
                           .select(F.col("node").alias("component"), F.col("component").alias("renamed")))
         name = F.coalesce("renamed", "component")
         groups = durable(groups.join(renamed, "component", "left").select("node", name.alias("component")))
+        if last:
+            return groups
         active = active.join(renamed, "component", "left").withColumn("component", name).drop("renamed")
         # A bucket within one group is done with, and groups never part.
         mixed = active.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
             "low < high").select("bucket")
         active = durable(active.join(mixed, "bucket", "left_semi"))
+        last = turn >= 2 and WORTH * found.count() < pairs.count()
+        if not active.limit(1).count():
+            return groups
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD) -> DataFrame:

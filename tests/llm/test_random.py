@@ -84,3 +84,17 @@ def test_variants_that_only_their_origin_links(spark):
     wanted = sorted(brute.groups(list(enumerate(texts)), 4))
     assert len({r[2] for r in wanted}) == 3
     assert rows == wanted
+
+
+def test_small_groups_inside_one_form(spark):
+    rng = random.Random(26)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    form, texts = [word() for _ in range(265)], []
+    for _ in range(200):  # 0.775 alike through the form, 0.807 within a pair
+        own = [word() for _ in range(6)]
+        texts += [" ".join(form + own + [word() for _ in range(32)]) for _ in range(2)]
+    texts = rng.sample(texts, len(texts))
+    rows = sorted(tuple(r) for r in neardup.near_duplicates(frame(spark, texts), 4).drop("text_key").collect())
+    wanted = sorted(brute.groups(list(enumerate(texts)), 4))
+    assert len({r[2] for r in wanted}) == 200
+    assert rows == wanted

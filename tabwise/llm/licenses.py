@@ -1,8 +1,8 @@
-"""License scan by a positional index of rare words.
+"""License scan by a positional index of the templates' words.
 
 Templates are short license texts and notices. Every template word has postings
 (template, position), and an inverse document frequency counted over all
-documents. A document looks up the rarest licence words it holds; postings whose
+documents. A document looks up every licence word it holds; postings whose
 distance between document and template agrees are one alignment. The best
 alignment's share of the template (weighted by rarity) is its score, and a label
 is given if the share is high and a mandatory key phrase of the template stands
@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 import string
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -60,8 +61,8 @@ TEMPLATES = (
     ("cc-by-nc", ("cc by nc",), "licensed under cc by nc 4 0"),
     ("cc-by-sa", ("cc by sa",), "licensed under cc by sa 4 0"),
 )
-#: Rarest licence words that a document looks up.
-LOOKED_UP = 12
+#: Places of a text at which alignments are added up together.
+BLOCK = 1 << 16
 #: Share of a template that has to be aligned, by weight.
 SHARE = 0.8
 
@@ -104,23 +105,23 @@ class Index:
     def weight(self, word: bytes) -> float:
         return self.idf.get(word, 1.0)
 
-    def look_up(self, words: list[bytes], looked_up: int = LOOKED_UP) -> dict[int, tuple[float, int]]:
+    def look_up(self, words: list[bytes]) -> dict[int, tuple[float, int]]:
         """Per template with an alignment: its best share, and where the template would start."""
         at = self.places(words)
-        rare = sorted((w for w in at if w in self.postings), key=lambda w: (-self.weight(w), w))[:looked_up]
-        votes: Counter = Counter()
-        for word in rare:
-            for t, i in self.postings[word]:
-                for place in at[word]:
-                    votes[t, place - i] += self.weight(word)
         best: dict[int, tuple[float, int]] = {}
-        # The looked-up words choose the alignment, all words of the template score it.
-        for (t, start), _ in sorted(votes.items(), key=lambda v: (v[0][0], -v[1], v[0][1])):
-            if t not in best:
-                text = self.texts[t]
-                same = sum(self.weight(w) for i, w in enumerate(text)
-                           if 0 <= start + i < len(words) and words[start + i] == w)
-                best[t] = (same / self.totals[t] if self.totals[t] else 0.0, start)
+        for t, text in enumerate(self.texts):
+            held = [(i, at[w], self.weight(w)) for i, w in enumerate(text) if w in at]
+            if not held:
+                continue
+            for first in range(-len(text), len(words), BLOCK):
+                votes: dict[int, float] = {}
+                for i, found, weight in held:
+                    for place in found[bisect_left(found, first + i):bisect_left(found, first + BLOCK + i)]:
+                        votes[place - i] = votes.get(place - i, 0.0) + weight
+                if votes:
+                    same, start = max((v, -k) for k, v in votes.items())
+                    if t not in best or same / self.totals[t] > best[t][0]:
+                        best[t] = (same / self.totals[t], -start)
         return best
 
     def places(self, words: list[bytes]) -> dict[bytes, list[int]]:
@@ -152,7 +153,7 @@ def rarity(docs: DataFrame, templates: tuple = TEMPLATES) -> dict[bytes, float]:
     return {w: math.log((rows + 1) / (found.get(w, 0) + 1)) + 1e-3 for w in Index(templates).vocabulary}
 
 
-def _scan(index: Index, looked_up: int, share: float):
+def _scan(index: Index, share: float):
     phrases = [(_parts(p), label) for p, label in PHRASES.items()]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,7 +164,7 @@ def _scan(index: Index, looked_up: int, share: float):
                 at = index.places(words)
                 base = [(i, label) for phrase, label in phrases for i in _places(at, words, phrase)]
                 added, score = set(), 1.0 if base else 0.0
-                for t, (part, start) in index.look_up(words, looked_up).items():
+                for t, (part, start) in index.look_up(words).items():
                     score = max(score, min(1.0, part))
                     stretch = range(start, start + len(index.texts[t]))
                     if part >= share and any(i in stretch for key_ in index.keys[t] for i in _places(at, words, key_)):
@@ -182,8 +183,7 @@ def _scan(index: Index, looked_up: int, share: float):
     return run
 
 
-def scan_licenses(docs: DataFrame, templates: tuple = TEMPLATES, looked_up: int = LOOKED_UP,
-                  share: float = SHARE) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: tuple = TEMPLATES, share: float = SHARE) -> DataFrame:
     """Per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, aligned.
 
     ``aligned`` lists (label, word where the template starts) of the verified
@@ -193,7 +193,7 @@ def scan_licenses(docs: DataFrame, templates: tuple = TEMPLATES, looked_up: int
     """
     index = Index(templates, rarity(docs, templates))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        _scan(index, looked_up, share),
+        _scan(index, share),
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, aligned array<struct<label:string,start:long>>")
 

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +274,30 @@ def test_licenses_align_templates_and_count_phrases(spark, docs, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def scanned(texts, idf=None):
+    pdf = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    (got,) = licenses._scan(licenses.Index(idf=idf), licenses.SHARE)(iter([pdf]))
+    return got
+
+
+def test_licenses_find_every_notice_of_a_file():
+    mit = licenses.TEMPLATES[5][2]
+    rare = dict.fromkeys(mit.split(), 9.0)
+    idf = {w: rare.get(w, 2.0) for t in licenses.TEMPLATES for w in t[2].split()}
+    idf = {w.encode(): v for w, v in idf.items()}
+    got = scanned([f"{mit} {t[2]}" for t in licenses.TEMPLATES], idf)
+    for labels, t in zip(got["labels"], licenses.TEMPLATES):
+        assert {"mit", t[0]} <= set(labels.split(","))
+
+
+def test_licenses_do_not_depend_on_blocks(monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join([prose(rng, 30), t[2], prose(rng, rng.randrange(40)), t[2][:-9]]) for t in licenses.TEMPLATES]
+    whole = scanned(texts)
+    monkeypatch.setattr(licenses, "BLOCK", 7)
+    assert whole.equals(scanned(texts)) and (whole["score"] == 1).all()
+
+
 def test_rarity_counts_all_documents(spark):
     df = spark.createDataFrame([("mit license",), ("the the license",), (None,)], "text string")
     idf = licenses.rarity(df.repartition(3))

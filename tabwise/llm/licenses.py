@@ -5,8 +5,8 @@ Templates are short license texts and notices. Every template word has postings
 documents. A document looks up every licence word it holds; postings whose
 distance between document and template agrees are one alignment. The best
 alignment's share of the template (weighted by rarity) is its score, and a label
-is given if the share is high and a mandatory key phrase of the template stands
-in the aligned stretch. Key phrases on their own are looked for as well.
+is given for every alignment with a high share and a mandatory key phrase of the
+template in the aligned stretch. Key phrases on their own are looked for as well.
 
 Two passes over the documents: word counts of the template vocabulary (bounded by
 the templates), then the look-up. No shuffle of texts.
@@ -105,24 +105,26 @@ class Index:
     def weight(self, word: bytes) -> float:
         return self.idf.get(word, 1.0)
 
-    def look_up(self, words: list[bytes]) -> dict[int, tuple[float, int]]:
-        """Per template with an alignment: its best share, and where the template would start."""
+    def look_up(self, words: list[bytes], share: float = SHARE) -> dict[int, tuple[float, list[int]]]:
+        """Per template with an alignment: the best share, and every start with ``share`` or more."""
         at = self.places(words)
-        best: dict[int, tuple[float, int]] = {}
+        out: dict[int, tuple[float, list[int]]] = {}
         for t, text in enumerate(self.texts):
             held = [(i, at[w], self.weight(w)) for i, w in enumerate(text) if w in at]
             if not held:
                 continue
+            best, starts = 0.0, []
             for first in range(-len(text), len(words), BLOCK):
                 votes: dict[int, float] = {}
                 for i, found, weight in held:
                     for place in found[bisect_left(found, first + i):bisect_left(found, first + BLOCK + i)]:
                         votes[place - i] = votes.get(place - i, 0.0) + weight
-                if votes:
-                    same, start = max((v, -k) for k, v in votes.items())
-                    if t not in best or same / self.totals[t] > best[t][0]:
-                        best[t] = (same / self.totals[t], -start)
-        return best
+                part = max(votes.values(), default=0.0) / self.totals[t]
+                best = max(best, part)
+                if part >= share:
+                    starts += sorted(k for k, v in votes.items() if v / self.totals[t] >= share)
+            out[t] = best, starts
+        return out
 
     def places(self, words: list[bytes]) -> dict[bytes, list[int]]:
         at: dict[bytes, list[int]] = defaultdict(list)
@@ -164,11 +166,13 @@ def _scan(index: Index, share: float):
                 at = index.places(words)
                 base = [(i, label) for phrase, label in phrases for i in _places(at, words, phrase)]
                 added, score = set(), 1.0 if base else 0.0
-                for t, (part, start) in index.look_up(words).items():
+                for t, (part, aligned) in index.look_up(words, share).items():
                     score = max(score, min(1.0, part))
-                    stretch = range(start, start + len(index.texts[t]))
-                    if part >= share and any(i in stretch for key_ in index.keys[t] for i in _places(at, words, key_)):
-                        added.add((index.labels[t], start))
+                    keys = sorted(i for key_ in index.keys[t] for i in _places(at, words, key_)) if aligned else []
+                    for start in aligned:
+                        k = bisect_left(keys, start)
+                        if k < len(keys) and keys[k] < start + len(index.texts[t]):
+                            added.add((index.labels[t], start))
                 starts = [i for i, _ in base]
                 labels = sorted({label for _, label in base})
                 rows.append((key, len(words), len(base), min(starts, default=None), max(starts, default=None),
@@ -186,10 +190,9 @@ def _scan(index: Index, share: float):
 def scan_licenses(docs: DataFrame, templates: tuple = TEMPLATES, share: float = SHARE) -> DataFrame:
     """Per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, aligned.
 
-    ``aligned`` lists (label, word where the template starts) of the verified
+    ``aligned`` lists (label, word where the template starts) of all verified
     alignments. ``score`` is the best aligned share, 1 with a key phrase. Null,
-    empty and wordless texts have no labels and score 0. Of equally good
-    alignments the first counts. Other columns of ``docs`` are not used.
+    empty and wordless texts have no labels and score 0. Other columns of ``docs`` are not used.
     """
     index = Index(templates, rarity(docs, templates))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(

@@ -290,6 +290,15 @@ def test_licenses_find_every_notice_of_a_file():
         assert {"mit", t[0]} <= set(labels.split(","))
 
 
+def test_licenses_verify_every_alignment():
+    mit = licenses.TEMPLATES[5][2]
+    spoilt = mit.replace("hereby", "thus")  # a high share without the mandatory phrase
+    n = len(mit.split())
+    got = scanned([f"{mit} and {mit}", f"{spoilt} and {mit}", f"{mit} and {spoilt}", f"{spoilt} and {spoilt}"])
+    starts = [[start for _, start in aligned] for aligned in got["aligned"]]
+    assert starts == [[0, n + 1], [n + 1], [0], []]
+
+
 def test_licenses_do_not_depend_on_blocks(monkeypatch):
     rng = random.Random(8)
     texts = [" ".join([prose(rng, 30), t[2], prose(rng, rng.randrange(40)), t[2][:-9]]) for t in licenses.TEMPLATES]

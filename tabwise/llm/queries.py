@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tabwise.llm import ann, chat, decontaminate, licenses, mixing, neardup, quality, repeats, secrets, toxicity
+from tabwise.llm import (ann, chat, decontaminate, infill, licenses, mixing, neardup, quality, repeats, secrets,
+                         toxicity)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_nearest": ann.query,
     "op9_source_mix": mixing.query,
     "op10_decontaminate": decontaminate.query,
+    "op11_fill_in_middle": infill.query,
 }
 
 #: Where SQL can express the result, and is fast enough on whole tables.
@@ -24,4 +26,5 @@ ORACLES = {
     "op7_chat_format": chat.ORACLE,
     "op9_source_mix": mixing.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_fill_in_middle": infill.ORACLE,
 }

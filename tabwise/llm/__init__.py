@@ -1,7 +1,8 @@
 """Operators for preparing training data: scoring, scans, deduplication, mixing.
 
 Nothing else in the library imports this package. Task code defined here is
-pickled by value, so workers need only numpy, pandas and pyahocorasick.
+pickled by value, so workers need only numpy, pandas, pyarrow, pyahocorasick and
+tokenizers.
 """
 
 import sys

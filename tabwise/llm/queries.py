@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tabwise.llm import (ann, chat, decontaminate, infill, licenses, mixing, neardup, quality, repeats, secrets,
-                         toxicity)
+from tabwise.llm import (ann, chat, decontaminate, infill, licenses, mixing, neardup, packing, quality, repeats,
+                         secrets, toxicity)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_source_mix": mixing.query,
     "op10_decontaminate": decontaminate.query,
     "op11_fill_in_middle": infill.query,
+    "op12_pack": packing.query,
 }
 
 #: Where SQL can express the result, and is fast enough on whole tables.

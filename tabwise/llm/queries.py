@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tabwise.llm import (ann, chat, decontaminate, infill, licenses, mixing, neardup, packing, quality, repeats,
-                         secrets, toxicity)
+from tabwise.llm import (ann, chat, collocations, decontaminate, infill, licenses, mixing, neardup, packing, quality,
+                         repeats, secrets, toxicity)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_decontaminate": decontaminate.query,
     "op11_fill_in_middle": infill.query,
     "op12_pack": packing.query,
+    "op13_collocations": collocations.query,
 }
 
 #: Where SQL can express the result, and is fast enough on whole tables.
@@ -28,4 +29,5 @@ ORACLES = {
     "op9_source_mix": mixing.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
     "op11_fill_in_middle": infill.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }

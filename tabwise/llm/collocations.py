@@ -3,13 +3,14 @@
 Every word opens one window: the word and its lead columns, the next three words
 of its piece, padded where the piece ends. Only these windows are counted. A
 shorter phrase starts a window wherever it occurs, so its frequency is the sum
-over the windows that begin with it: one ROLLUP over the counted windows gives all
+over the windows that begin with it: ROLLUP over the counted windows gives all
 frequencies, and no n-grams of other lengths are ever exploded.
 
 No phrase is more frequent than its words, so a word below the threshold ends a
-window as a piece's end does. The words that reach it are numbered and windows
-are counted as numbers; where there are too many of them to send to all tasks,
-windows are counted as words, with the same result.
+window as a piece's end does, and counted windows lose what is rarer before the
+rollup. The words that reach the threshold are numbered and windows are
+counted as numbers; where there are too many of them to send to all tasks, windows
+are counted as words, with the same result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from tabwise.session import scratch_path
 
 LEAST, COVERED, TOP, SCALE = 30, 80, 2000, 2_000_000
 #: At most so many words, and bytes of words, are numbered and sent to the tasks.
-VOCABULARY_WORDS, VOCABULARY_BYTES = 1_000_000, 32 << 20
+VOCABULARY_WORDS, VOCABULARY_BYTES = 1_000_000, 32 << 20  # numbers of 20 bits
 UNKNOWN_LANG = "und"
 
 _ENDS = rb".,;:!?" + b"\x0b\x0c\r"
@@ -38,6 +39,11 @@ _BLOCK = 1 << 20
 _ROWS = 1 << 19
 _W = ["w1", "w2", "w3", "w4"]
 _SALT = 64
+#: So many windows are counted together before the shuffle.
+_WINDOWS = 1 << 21
+#: Word numbers have 20 bits. A pair whose words occur k * _HOT times and more is dealt to k + 1
+#: tasks; a triple whose words all do so is open: it may be in several of them.
+_MOST, _SALT_BIT, _OPEN_BIT, _SALTS, _HOT = (1 << 20) - 1, 53, 62, 1 << 9, 1 << 14
 
 
 def _tokens(text: bytes) -> Iterator[Iterator[bytes]]:
@@ -74,16 +80,27 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from counted()
 
 
-def _lead_windows(vocabulary: dict[str, dict[bytes, int]]):
-    """Windows as two numbers: words 1 and 2, words 3 and 4; 0 is padding."""
+def _lead_windows(vocabulary: dict[str, dict[bytes, int]], counts: np.ndarray):
+    """Windows of two words and more as two numbers, words 1 and 2 and words 3 and 4 (0 is padding), and their count."""
     def windows(parts: list[np.ndarray]) -> pa.RecordBatch:
-        a, b, c, d = (lead for row in [np.concatenate([*parts, np.zeros(3, np.int64)])]
-                      for lead in (row[:-3], row[1:-2], row[2:-1], row[3:]))
+        row = np.concatenate([*parts, np.zeros(3, np.int64)])
+        a, b, c, d = row[:-3], row[1:-2], row[2:-1], row[3:]
         c = np.where(b > 0, c, 0)
         d = np.where(c > 0, d, 0)
-        opens = a > 0
-        return pa.RecordBatch.from_arrays(
-            [pa.array((a << 32 | b)[opens]), pa.array((c << 32 | d)[opens])], ["head", "rest"])
+        opens = (a > 0) & (b > 0)
+        head, rest = (a << 32 | b)[opens], (c << 32 | d)[opens]
+        # Pairs that may be hot are dealt out by their third word, triples by the fourth as well.
+        rarest = np.minimum(counts[a[opens]], counts[b[opens]])
+        share = np.minimum(rarest // _HOT, _SALTS - 2)
+        open_ = np.minimum(rarest, counts[c[opens]]) >= _HOT
+        mixed = np.where(open_, rest, rest >> 32).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
+        head |= np.where(share > 0, 1 + mixed.astype(np.int64) % (share + 1), 0) << _SALT_BIT
+        head |= open_.astype(np.int64) << _OPEN_BIT
+        order = np.lexsort((rest, head))
+        head, rest = head[order], rest[order]
+        first = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (rest[1:] != rest[:-1])])[:len(head)])
+        n = np.diff(np.concatenate([first, [len(head)]]))
+        return pa.RecordBatch.from_arrays([pa.array(head[first]), pa.array(rest[first]), pa.array(n)], ["head", "rest", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, none = [], 0, {}
@@ -94,7 +111,7 @@ def _lead_windows(vocabulary: dict[str, dict[bytes, int]]):
                     parts.append(np.fromiter(map(number, block, repeat(0)), np.int64))
                     size += len(parts[-1])
                 parts.append(np.zeros(1, np.int64))
-                if size >= _ROWS:
+                if size >= _WINDOWS:
                     yield windows(parts)
                     parts, size = [], 0
         if parts:
@@ -103,19 +120,34 @@ def _lead_windows(vocabulary: dict[str, dict[bytes, int]]):
     return run
 
 
-def _counted_by_number(rows: DataFrame, vocabulary: dict[str, dict[bytes, int]]) -> DataFrame:
-    """w1..w4 (numbers, 0 behind the end), n."""
-    counted = rows.mapInArrow(_lead_windows(vocabulary), "head long, rest long").groupBy("head", "rest").agg(
-        F.count(F.lit(1)).alias("n"))
+def _counted_by_number(rows: DataFrame, vocabulary: dict[str, dict[bytes, int]], counts: np.ndarray,
+                       least: int) -> DataFrame:
+    """w1..w4 (numbers, 0 behind the end), n: the windows, cut short where they are of no further use.
+
+    No phrase is more frequent than what it begins with. The windows of a pair meet in
+    one task (those of a pair that may be hot are dealt out, by triple at least), so
+    the same shuffle that counts them tells which pairs, triples and windows reach
+    ``least``. Rarer ones lose their last words, or go with their pair, before the rollup.
+    """
+    windows = rows.mapInArrow(_lead_windows(vocabulary, counts), "head long, rest long, n long")
+    counted = windows.repartition("head").groupBy("head", "rest").agg(F.sum("n").alias("n"))
+    third = F.shiftright("rest", 32)
+    summed = (counted.withColumn("third", third)
+              .withColumn("triple", F.sum("n").over(Window.partitionBy("head", "third")))
+              .withColumn("pair", F.sum("n").over(Window.partitionBy("head"))))
+    kept = summed.filter((F.col("pair") >= least) | (F.col("head") >= 1 << _SALT_BIT))
+    cut = (F.when(F.col("n") >= least, F.col("rest"))
+           .when((F.col("triple") >= least) | (F.col("head") >= 1 << _OPEN_BIT), F.shiftleft("third", 32)).otherwise(F.lit(0)))
+    short = kept.select("head", cut.alias("rest"), "n").groupBy("head", "rest").agg(F.sum("n").alias("n"))
 
     def high(c: str) -> Column:
-        return F.shiftright(c, 32).cast("int")
+        return F.shiftright(c, 32).bitwiseAND(F.lit(_MOST)).cast("int")
 
     def low(c: str) -> Column:
         return F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
 
-    return counted.select(high("head").alias("w1"), low("head").alias("w2"), high("rest").alias("w3"),
-                          low("rest").alias("w4"), "n")
+    return short.select(high("head").alias("w1"), low("head").alias("w2"), high("rest").alias("w3"),
+                        low("rest").alias("w4"), "n")
 
 
 def _counted_by_word(rows: DataFrame) -> DataFrame:
@@ -128,15 +160,15 @@ def _counted_by_word(rows: DataFrame) -> DataFrame:
 
 
 def _frequent(counted: DataFrame, keys: list[str], pad, least: int) -> DataFrame:
-    """Phrases of 1 to 4 words with their frequency ``a``, from the counted windows."""
-    longest = counted.filter((F.col("w4") != pad) & (F.col("n") >= least)).select(*keys, *_W, F.col("n").alias("a"))
-    sums = counted.rollup(*keys, *_W[:3]).agg(
-        F.sum("n").alias("a"), *[F.grouping(w).alias(f"no_{w}") for w in _W[:3]]).filter(F.col("a") >= least)
+    """Phrases of up to four words with their frequency ``a``: the counted windows that begin with them, summed."""
+    sums = counted.rollup(*keys, *_W).agg(
+        F.sum("n").alias("a"), *[F.grouping(w).alias(f"no_{w}") for w in _W]).filter(F.col("a") >= least)
     # A prefix counts where its last word is one: not rolled away, and no padding.
-    last = F.when(F.col("no_w3") == 0, F.col("w3")).when(F.col("no_w2") == 0, F.col("w2")).otherwise(F.col("w1"))
-    shorter = sums.filter((F.col("no_w1") == 0) & (last != pad)).select(
-        *keys, *[F.coalesce(w, F.lit(pad)).alias(w) for w in _W[:3]], F.lit(pad).alias("w4"), "a")
-    return shorter.unionByName(longest)
+    last = F.col("w1")
+    for w in _W[1:]:
+        last = F.when(F.col(f"no_{w}") == 0, F.col(w)).otherwise(last)
+    return sums.filter((F.col("no_w1") == 0) & (last != pad)).select(
+        *keys, *[F.coalesce(w, F.lit(pad)).alias(w) for w in _W], "a")
 
 
 def _phrase(first: int, last: int, pad) -> list[Column]:
@@ -216,15 +248,21 @@ def mine_collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERE
     known = counts.filter(F.col("n") >= least)
     size = known.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")).first()
     if size.words <= VOCABULARY_WORDS and size.bytes <= VOCABULARY_BYTES:
-        listed = sorted((r.lang, r.word) for r in known.select("lang", "word").collect())
+        listed = sorted(tuple(r) for r in known.select("lang", "word", "n").collect())
         numbers = defaultdict(dict)
-        for i, (lang, word) in enumerate(listed):
+        for i, (lang, word, _) in enumerate(listed):
             numbers[lang][word.encode()] = i + 1
-        keys, pad, counted = [], 0, _counted_by_number(rows, dict(numbers))
+        frequency = np.array([0, *(n for *_, n in listed)], np.int64)
+        keys, pad, counted = [], 0, _counted_by_number(rows, dict(numbers), frequency, least)
+        # Windows of rare pairs are gone, so single words keep the counts they have.
+        single = spark.createDataFrame(pa.table({"w1": np.arange(1, len(frequency), dtype=np.int32), "a": frequency[1:]}))
+        single = single.select("w1", *[F.lit(pad).alias(w) for w in _W[1:]], "a")
+        phrases = _frequent(counted, keys, pad, least).filter(F.col("w2") != pad).unionByName(single)
     else:
-        keys, pad, counted = ["lang"], "", _counted_by_word(rows)
+        keys, pad = ["lang"], ""
+        phrases = _frequent(_counted_by_word(rows), keys, pad, least)
 
-    phrases = durable(_frequent(counted, keys, pad, least))
+    phrases = durable(phrases)
     n_words = reduce(lambda x, y: x + y, [(F.col(w) != pad).cast("int") for w in _W])
     candidates = phrases.withColumn("n_words", n_words).filter("n_words > 1")
     found = _uncovered(_score(candidates, phrases, keys, pad), candidates, keys, pad, covered)
@@ -233,7 +271,7 @@ def mine_collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERE
         found = found.select("lang", phrase.alias("phrase"), "a", "l", "r", "score")
     else:
         langs, spelling = [""], [""]
-        for lang, word in listed:
+        for lang, word, _ in listed:
             langs.append(lang)
             spelling.append(word)
         found = found.select(*_W, "a", "l", "r", "score").mapInArrow(

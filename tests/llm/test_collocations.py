@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,13 +46,16 @@ def made(seed):
     return [*messy(), *rows, rows[0], (None, None, None, None, None)]
 
 
-@pytest.mark.parametrize("numbered", [True, False])
+@pytest.mark.parametrize("numbered", [True, None, False])
 @pytest.mark.parametrize("least,covered,top", [(2, 80, 1000), (4, 60, 15), (9, 100, 3)])
 def test_against_plain_counting(spark, monkeypatch, numbered, least, covered, top):
-    if not numbered:
+    if numbered is False:
         monkeypatch.setattr(collocations, "VOCABULARY_WORDS", -1)
+    if numbered is None:  # every pair counts as hot
+        monkeypatch.setattr(collocations, "_HOT", 1)
     monkeypatch.setattr(collocations, "_BLOCK", 100)
     monkeypatch.setattr(collocations, "_ROWS", 300)
+    monkeypatch.setattr(collocations, "_WINDOWS", 500)
     docs = spark.createDataFrame(made(least), SCHEMA)
     for c in [*EXTRA, "phrase", "a", "w1", "salt", "longer"]:
         docs = docs.withColumn(c, F.lit("x"))
@@ -61,6 +65,16 @@ def test_against_plain_counting(spark, monkeypatch, numbered, least, covered, to
     assert sorted(map(tuple, got.collect())) == expected(data, least, covered, top)
 
 
+def test_windows_are_shuffled_once_before_the_rollup(spark):
+    docs = spark.createDataFrame([(f"w{i % 7} w{i % 3} w{i % 2} x", "en") for i in range(200)], "text string, lang string")
+    numbers = {"en": {f"w{i}".encode(): i + 1 for i in range(7)}}
+    counted = collocations._counted_by_number(docs, numbers, np.full(8, 99), 2)
+    counted.collect()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert final.count("MapInArrow") == 1 and final.count("Exchange") == 1
+
+
 def test_products_beyond_64_bits(spark):
     rows = spark.createDataFrame([(1, 2, 0, 0, 2, 9 * 10**15)], "w1 int, w2 int, w3 int, w4 int, n_words int, a long")
     phrases = spark.createDataFrame([(1, 0, 0, 0, 9 * 10**15), (2, 0, 0, 0, 10**16)], "w1 int, w2 int, w3 int, w4 int, a long")

@@ -43,17 +43,20 @@ CLASSES = (
     CharacterClass("entropy_hex", "0-9a-fA-F", 24, 24, 3.0),
     CharacterClass("entropy_base64", "A-Za-z0-9+/_=-", 24, 24, 4.0),
 )
-#: A candidate that one of these finds is no secret: words, numbers, one repeated
-#: character, paths and names in words, identifiers, digests that say so, examples.
+#: A candidate that one of these finds is no secret: words, paths and names in words,
+#: numbers, one repeated character, identifiers, digests that say so. No group is
+#: repeated without bound: the engine would recurse once per repetition.
 ALLOWED = (
-    r"^[A-Za-z]+$",
+    r"^[A-Za-z/_=-]+$",
     r"^[0-9]+$",
     r"^(.)\1+$",
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[A-Za-z]*(?:[/_=-]+[A-Za-z]*)+$",
     r"^sha(?:1|256|384|512)-",
-    r"(?i)example|sample|placeholder|dummy",
 )
+#: Parts of a span, between separators, that say they are examples. A span is left out
+#: if its other parts together are shorter than a candidate.
+SEPARATORS = r"[/_=-]+"
+EXAMPLES = r"(?i)example|sample|placeholder|dummy"
 
 _EMPTY = "array<struct<start:bigint,end:bigint>>"
 # Codes '+' to 'z' hold every character of a candidate.
@@ -83,42 +86,83 @@ def _known(text: Column, pattern: str, least: int, group: int | None = None) ->
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_EMPTY))
 
 
+#: Positions of a candidate are read in blocks of this many; spans of earlier blocks aren't copied at every step.
+_STEPS = 512
+
+
+def _joined_to(spans: Column, first: Column, end: Column) -> Column:
+    """Sorted spans and one more behind them, as one span where they touch."""
+    last = F.try_element_at(spans, F.lit(-1))
+    touches = F.coalesce(last["end"] >= first, F.lit(False))
+    kept = F.when(touches, F.slice(spans, 1, F.size(spans) - 1)).otherwise(spans)
+    return F.concat(kept, F.array(F.struct(F.when(touches, last["start"]).otherwise(first).alias("start"), end.alias("end"))))
+
+
 def _dense(candidate: Column, offset: Column, cls: CharacterClass) -> Column:
     """Spans of the windows of a candidate whose entropy reaches the class's threshold, joined.
 
-    State: a count per character code, the sum of c*log2(c) over the counts as a
-    scaled whole number (so that adding and taking away leave no error), spans.
+    State: a count per character code, several packed into a long; the sum of
+    c*log2(c) over the counts as a scaled whole number (so that adding and taking
+    away leave no error); spans. A character that enters or leaves is one shift and
+    one addition.
     """
     w = cls.window
+    bits = (w + 1).bit_length()
+    each = 62 // bits
     term = F.array(*[F.lit(round(c * math.log2(c) * _SCALE) if c else 0) for c in range(w + 2)])
     most = int((math.log2(w) - cls.bits) * w * _SCALE)  # entropy >= bits, said of the sum
+    n_longs = -(-(_LAST - _FIRST + 1) // each)
+    n = F.length(candidate)
+
+    def count(longs: Column, code: Column) -> Column:
+        packed = F.get(longs, F.floor(code / each).cast("int"))
+        return F.call_function("shiftright", packed, (code % each) * bits).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+    def changed(longs: Column, enters: Column, leaves: Column) -> Column:
+        def one(code: Column, k: Column) -> Column:
+            return F.when(F.floor(code / each) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (code % each) * bits)).otherwise(0)
+
+        return F.transform(longs, lambda x, k: x + one(enters, k) - F.when(leaves >= 0, one(leaves, k)).otherwise(0))
+
+    def step(codes: Column):
+        def run(s: Column, i: Column) -> Column:
+            enters, leaves = F.get(codes, i), F.when(i >= w, F.get(codes, i - w)).otherwise(-1)
+            c_in, c_out = count(s["longs"], enters), count(s["longs"], leaves)
+            change = F.when(enters == leaves, 0).otherwise(
+                F.get(term, c_in + 1) - F.get(term, c_in)
+                + F.when(leaves >= 0, F.get(term, c_out - 1) - F.get(term, c_out)).otherwise(0))
+            total = s["sum"] + change
+            longs = F.when(enters == leaves, s["longs"]).otherwise(changed(s["longs"], enters, leaves))
+            spans = F.when((i >= w - 1) & (total <= most), _joined_to(s["spans"], offset + i - (w - 1), offset + i + 1))
+            return F.struct(longs.alias("longs"), total.alias("sum"), F.coalesce(spans, s["spans"]).alias("spans"))
+        return run
+
+    def block(codes: Column):
+        def run(s: Column, b: Column) -> Column:
+            places = F.sequence(b * _STEPS, F.least(n, (b + 1) * _STEPS) - 1)
+            own = F.struct(s["longs"].alias("longs"), s["sum"].alias("sum"), F.array().cast(_EMPTY).alias("spans"))
+            done = F.aggregate(places, own, step(codes))
+            # Bound to a name, as an expression used twice would run twice.
+            return F.get(F.transform(F.array(done), lambda d: F.struct(
+                d["longs"].alias("longs"), d["sum"].alias("sum"), F.when(F.size(d["spans"]) == 0, s["spans"]).otherwise(F.concat(
+                    _joined_to(s["spans"], F.get(d["spans"], 0)["start"], F.get(d["spans"], 0)["end"]),
+                    F.slice(d["spans"], 2, F.size(d["spans"])))).alias("spans"))), 0)
+        return run
+
+    start = F.struct(F.array_repeat(F.lit(0).cast("long"), n_longs).alias("longs"), F.lit(0).cast("long").alias("sum"),
+                     F.array().cast(_EMPTY).alias("spans"))
     codes = F.transform(F.split(candidate, ""), lambda c: F.ascii(c) - _FIRST)
-    start = F.struct(F.array_repeat(F.lit(0), _LAST - _FIRST + 1).alias("counts"), F.lit(0).cast("long").alias("sum"),
-                     F.array().cast(_EMPTY).alias("spans"), codes.alias("codes"))
-
-    def step(s: Column, i: Column) -> Column:
-        enters, leaves = F.get(s["codes"], i), F.when(i >= w, F.get(s["codes"], i - w)).otherwise(-1)
-        c_in, c_out = F.get(s["counts"], enters), F.get(s["counts"], leaves)
-        change = F.when(enters == leaves, 0).otherwise(
-            F.get(term, c_in + 1) - F.get(term, c_in)
-            + F.when(leaves >= 0, F.get(term, c_out - 1) - F.get(term, c_out)).otherwise(0))
-        total = s["sum"] + change
-        counts = F.when(enters == leaves, s["counts"]).otherwise(F.transform(
-            s["counts"], lambda c, k: c + F.when(k == enters, 1).when(k == leaves, -1).otherwise(0)))
-        first, end = offset + i - (w - 1), offset + i + 1
-        last = F.try_element_at(s["spans"], F.lit(-1))
-        joined = F.when(F.size(s["spans"]) == 0, F.array(F.struct(first.alias("start"), end.alias("end")))).when(
-            last["end"] >= first, F.concat(F.slice(s["spans"], 1, F.size(s["spans"]) - 1),
-                                           F.array(F.struct(last["start"].alias("start"), end.alias("end"))))
-        ).otherwise(F.concat(s["spans"], F.array(F.struct(first.alias("start"), end.alias("end")))))
-        return F.struct(counts.alias("counts"), total.alias("sum"),
-                        F.when((i >= w - 1) & (total <= most), joined).otherwise(s["spans"]).alias("spans"),
-                        s["codes"].alias("codes"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.length(candidate) - 1), start, step, lambda s: s["spans"])
-
-
-def _entropy(text: Column, cls: CharacterClass, allowed: tuple[str, ...]) -> Column:
+    blocks = F.sequence(F.lit(0), F.floor((n - 1) / _STEPS).cast("int"))
+    return F.get(F.transform(F.array(codes), lambda c: F.aggregate(blocks, start, block(c), lambda s: s["spans"])), 0)
+
+
+def _no_example(span: Column, least: int, examples: str) -> Column:
+    """Whether the parts of a span that don't say they are examples are as long as a candidate."""
+    parts = F.filter(F.split(span, SEPARATORS), lambda p: ~p.rlike(examples))
+    return ~span.rlike(examples) | (F.aggregate(parts, F.lit(0), lambda n, p: n + F.length(p)) >= least)
+
+
+def _entropy(text: Column, cls: CharacterClass, allowed: tuple[str, ...], examples: str) -> Column:
     pattern = f"(?<![{cls.members}])[{cls.members}]{{{cls.least},}}"
 
     def keep(c: Column) -> Column:
@@ -127,24 +171,32 @@ def _entropy(text: Column, cls: CharacterClass, allowed: tuple[str, ...]) -> Col
             out = out & ~c.rlike(a)
         return out
 
-    spans = F.flatten(F.transform(_found(text, pattern, keep), lambda s: _dense(s["hit"], s["start"], cls)))
+    def dense(s: Column) -> Column:
+        def own(x: Column) -> Column:
+            return F.substr(s["hit"], (x["start"] - s["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))
+
+        return F.filter(_dense(s["hit"], s["start"], cls), lambda x: _no_example(own(x), cls.least, examples))
+
+    spans = F.flatten(F.transform(_found(text, pattern, keep), dense))
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_EMPTY))
 
 
 def scan_secrets(docs: DataFrame, classes: tuple[CharacterClass, ...] = CLASSES,
-                 allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+                 allowed: tuple[str, ...] = ALLOWED, examples: str = EXAMPLES) -> DataFrame:
     """The input rows with ``secret_spans``: array of (start, kind_order, end, kind), sorted by start.
 
     Kinds: assign, access, hex, then one per character class; the last ones add
-    to the known shapes, which the allow-list never touches. Null and empty
-    texts have no spans; text of any length is scanned whole. Spans of one kind
+    to the known shapes, which the allow-list never touches. ``allowed`` is tested on
+    whole candidates, ``examples`` on the parts of a dense span. Null and empty texts
+    have no spans; text and candidates of any length are scanned whole, in linear
+    time. Spans of one kind
     don't overlap, those of two kinds may. A column of ``docs`` that is already
     called ``secret_spans`` is replaced. Rows are never merged or dropped.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     known = (("assign", _known(text, ASSIGN, ASSIGN_LEAST, 1)), ("access", _known(text, ACCESS, ACCESS_LEAST)),
              ("hex", _known(text, f"[0-9a-f]{{{HEX_LEAST},}}", HEX_LEAST)))
-    kinds = [*known, *((c.kind, _entropy(text, c, allowed)) for c in classes)]
+    kinds = [*known, *((c.kind, _entropy(text, c, allowed, examples)) for c in classes)]
 
     def tagged(spans: Column, order: int, kind: str) -> Column:
         return F.transform(spans, lambda s: F.struct(

@@ -30,21 +30,26 @@ def secret_base(text: str | None) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
-def entropy_spans(text: str | None, members: str, least: int, window: int, bits: float, allowed) -> list[tuple[int, int]]:
-    out = []
+def entropy_spans(text: str | None, members: str, least: int, window: int, bits: float, allowed,
+                  examples: str) -> list[tuple[int, int]]:
+    found = []
     for m in re.finditer(f"[{members}]{{{least},}}", text or ""):
-        s = m.group()
+        s, out = m.group(), []
         if any(re.search(a, s) for a in allowed):
             continue
         for i in range(len(s) - window + 1):
             n = Counter(s[i:i + window]).values()
             if -sum(c / window * math.log2(c / window) for c in n) >= bits - 1e-9:
                 a, b = m.start() + i, m.start() + i + window
-                if out and a <= out[-1][1] and out[-1][0] >= m.start():
+                if out and a <= out[-1][1]:
                     out[-1] = (out[-1][0], b)
                 else:
                     out.append((a, b))
-    return out
+        for a, b in out:
+            parts = [p for p in re.split("[/_=-]+", text[a:b]) if not re.search(examples, p)]
+            if not re.search(examples, text[a:b]) or sum(map(len, parts)) >= least:
+                found.append((a, b))
+    return found
 
 
 def repeats(docs: list[tuple], n: int) -> list[tuple]:

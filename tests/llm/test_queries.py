@@ -76,7 +76,7 @@ def test_secrets_of_every_text(spark, texts):
     for k, text in texts:
         base = brute.secret_base(text)
         spans = base + [(a, 3 + i, b, c.kind) for i, c in enumerate(secrets.CLASSES) for a, b in brute.entropy_spans(
-            text, c.members, c.least, c.window, c.bits, secrets.ALLOWED)]
+            text, c.members, c.least, c.window, c.bits, secrets.ALLOWED, secrets.EXAMPLES)]
         joined = lambda s: ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(s))
         r = got[k]
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[3] == kind for s in base) for kind in kinds[:3]]

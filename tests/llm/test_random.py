@@ -20,7 +20,7 @@ def test_secrets_of_random_strings(spark):
            for r in secrets.scan_secrets(frame(spark, texts)).collect()}
     for i, t in enumerate(texts):
         wanted = brute.secret_base(t) + [(a, 3 + k, b, c.kind) for k, c in enumerate(secrets.CLASSES)
-                                         for a, b in brute.entropy_spans(t, c.members, c.least, c.window, c.bits, secrets.ALLOWED)]
+                                         for a, b in brute.entropy_spans(t, c.members, c.least, c.window, c.bits, secrets.ALLOWED, secrets.EXAMPLES)]
         assert got[i] == sorted(wanted), t
     masked = {r.doc_id: r.text for r in secrets.redact(frame(spark, texts), "\0").collect()}
     for i, t in enumerate(texts):

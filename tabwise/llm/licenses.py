@@ -1,11 +1,14 @@
 """License scan by a positional index of the templates' words.
 
-Templates are short license texts and notices. Every template word has postings
+Templates are license texts and notices. Every template word has postings
 (template, position), and an inverse document frequency counted over all
-documents. A document looks up every licence word it holds; postings whose
-distance between document and template agrees are one alignment. The best
-alignment's share of the template (weighted by rarity) is its score, and a label
-is given for every alignment with a high share and a mandatory key phrase of the
+documents. A document looks up a template's words by falling IDF; places whose
+distance between document and template agrees are one alignment. The look-up stops
+as soon as the words left, all together, weigh too little for an alignment that
+none of the rarer ones has opened to count: so common words are rarely asked for,
+and nothing is lost. Open alignments are then compared word by word. The best
+one's share of the template (weighted by rarity) is its score, and a label is
+given for every alignment with a high share and a mandatory key phrase of the
 template in the aligned stretch. Key phrases on their own are looked for as well.
 
 Two passes over the documents: word counts of the template vocabulary (bounded by
@@ -101,28 +104,43 @@ class Index:
         self.vocabulary = set(self.postings) | {w for p in PHRASES for w in _parts(p)}
         self.idf = idf or {}
         self.totals = [sum(self.weight(w) for w in text) for text in self.texts]
+        #: Per template its positions, rarest word first.
+        self.order = [sorted(range(len(text)), key=lambda i: (-self.weight(text[i]), i)) for text in self.texts]
 
     def weight(self, word: bytes) -> float:
         return self.idf.get(word, 1.0)
 
+    def share(self, t: int, words: list[bytes], start: int) -> float:
+        """The share of a template that stands in the words from ``start`` on."""
+        text = self.texts[t]
+        inside = range(max(0, -start), min(len(text), len(words) - start))
+        return sum(self.weight(text[i]) for i in inside if words[start + i] == text[i]) / self.totals[t]
+
     def look_up(self, words: list[bytes], share: float = SHARE) -> dict[int, tuple[float, list[int]]]:
         """Per template with an alignment: the best share, and every start with ``share`` or more."""
         at = self.places(words)
         out: dict[int, tuple[float, list[int]]] = {}
         for t, text in enumerate(self.texts):
-            held = [(i, at[w], self.weight(w)) for i, w in enumerate(text) if w in at]
-            if not held:
+            if not any(w in at for w in text):
                 continue
             best, starts = 0.0, []
             for first in range(-len(text), len(words), BLOCK):
                 votes: dict[int, float] = {}
-                for i, found, weight in held:
+                left, most = self.totals[t], best * self.totals[t]
+                for i in self.order[t]:
+                    if left < share * self.totals[t] and left < most:
+                        break
+                    weight, found = self.weight(text[i]), at.get(text[i], ())
                     for place in found[bisect_left(found, first + i):bisect_left(found, first + BLOCK + i)]:
-                        votes[place - i] = votes.get(place - i, 0.0) + weight
-                part = max(votes.values(), default=0.0) / self.totals[t]
-                best = max(best, part)
-                if part >= share:
-                    starts += sorted(k for k, v in votes.items() if v / self.totals[t] >= share)
+                        vote = votes[place - i] = votes.get(place - i, 0.0) + weight
+                        most = max(most, vote)
+                    left -= weight
+                # What rounding may have added or taken away is far below this.
+                needed = min(most, share * self.totals[t]) - left - 1e-6
+                for start, part in sorted((k, self.share(t, words, k)) for k, v in votes.items() if v >= needed):
+                    best = max(best, part)
+                    if part >= share:
+                        starts.append(start)
             out[t] = best, starts
         return out
 
@@ -134,6 +152,21 @@ class Index:
         return at
 
 
+def read_templates(table: DataFrame) -> tuple:
+    """Templates from a table (label, phrases array, text), such as whole licence texts.
+
+    Phrases and texts are normalised as documents are. Templates are a small set that
+    every task holds; rows with a null label, without words or without a phrase are an error.
+    """
+    plain = lambda text: b" ".join(_words(text)).decode()
+    out = tuple((r.label, tuple(filter(None, map(plain, r.phrases or ()))), plain(r.text)) for r in table.select(
+        "label", "phrases", "text").collect())
+    bad = [label for label, phrases, text in out if not (label and phrases and text)]
+    if bad:
+        raise ValueError(f"templates without label, phrase or words: {bad}")
+    return tuple(sorted(out))
+
+
 def _count(index: Index):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()

@@ -5,10 +5,13 @@ turns and comparing each output with the one before shows what every turn added.
 If an output doesn't begin with the one before it, the template rewrites history,
 and the turn that made it do so is reported. Rendering a turn with an empty text,
 and just its opening, shows which part of its span is the text: that of assistant
-turns is the loss mask.
+turns is the loss mask. Where history was rewritten, every text is looked for again
+in the final output, by rendering all turns with a mark in place of that text.
 
-Prefixes of a long conversation are rendered from a window of turns; if the parts
-then don't add up to the whole output, all prefixes are rendered.
+All prefixes are rendered, a number of renderings that grows with the turns and
+output that grows with their square. A template whose author declares it
+``prefix_stable`` (an attribute of the function) is rendered from the turn before
+only, and the parts must add up to the whole output.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ Turn = tuple[str, str]
 #: render(turns, opening): ``opening`` adds the beginning of a turn of that role.
 Template = Callable[[list[Turn], str | None], str]
 
-WINDOW = 24
+#: Stands in for a text: private-use characters, one that the conversation doesn't hold.
+_MARKS = "\ue000\ue001\uf8ff"
 ASSISTANT = "assistant"
 
 _CONTROL = re.compile(r"\\|###|</turn>")
@@ -53,6 +57,9 @@ def marked_turns(turns: list[Turn], opening: str | None = None) -> str:
     return out if opening is None else out + start(opening)
 
 
+marked_turns.prefix_stable = True
+
+
 def read_back(formatted: str) -> list[Turn]:
     """The turns of an output of ``marked_turns``."""
     return [(unescape(m.group(1)), unescape(m.group(2))) for m in _TURN.finditer(formatted)]
@@ -61,48 +68,64 @@ def read_back(formatted: str) -> list[Turn]:
 @dataclass
 class Rendered:
     text: str
-    #: Per turn: start and end of its span, and of the text within.
-    spans: list[tuple[int, int, int, int]]
+    #: Per turn: start and end of its span, and of the text within; None where the
+    #: template leaves no place that can be told to be this turn's.
+    spans: list[tuple[int, int, int, int] | None]
     #: Turns whose addition changed what was already there.
     rewrites: list[int]
 
 
-def _inner(before: list[Turn], turn: Turn, added: str, base: str, render: Template) -> tuple[int, int]:
-    """Where the text stands in what a turn added: behind its opening, before what an empty text leaves."""
-    opening = render(before, turn[0])[len(base):]
-    empty = render([*before, (turn[0], "")], None)[len(base):]
-    closing = empty[len(opening):] if empty.startswith(opening) else ""
-    if added.startswith(opening) and added.endswith(closing) and len(opening) + len(closing) <= len(added):
-        return len(opening), len(added) - len(closing)
-    return 0, len(added)
+def _around(before: list[Turn], turn: Turn, base: str, render: Template) -> tuple[str, str]:
+    """What a template puts before and behind the text of a turn."""
+    opened, empty = render(before, turn[0]), render([*before, (turn[0], "")], None)
+    opening = opened[len(base):] if opened.startswith(base) else ""
+    if empty.startswith(base + opening):
+        return opening, empty[len(base + opening):]
+    return opening, empty[empty.rfind(opening) + len(opening):] if opening in empty else ""
+
+
+def _again(turns: list[Turn], j: int, whole: str, around: tuple[str, str], render: Template) -> tuple[int, int, int, int] | None:
+    """The span of turn j in the whole output: rendered with a mark for its text, all else has to be the same."""
+    mark = next((m for m in _MARKS if m not in whole), None)
+    marked = "" if mark is None else render([*turns[:j], (turns[j][0], mark), *turns[j + 1:]], None)
+    if mark is None or marked.count(mark) != 1:
+        return None
+    head, tail = marked.split(mark)
+    if len(head) + len(tail) > len(whole) or not (whole.startswith(head) and whole.endswith(tail)):
+        return None
+    low, high = len(head), len(whole) - len(tail)
+    opening, closing = around
+    start = low - len(opening) if head.endswith(opening) else low
+    return start, high + len(closing) if tail.startswith(closing) else high, low, high
 
 
-def locate(turns: list[Turn], render: Template = marked_turns, window: int = WINDOW) -> Rendered:
+def locate(turns: list[Turn], render: Template = marked_turns) -> Rendered:
     """Render, and find each turn's span by comparing the outputs of successive prefixes."""
-    def walk(width: int) -> Rendered:
-        spans, rewrites, parts, at = [], [], [], 0
-        for i, turn in enumerate(turns):
-            before = turns[max(0, i - width):i]
-            base, grown = render(before, None), render([*before, turn], None)
-            if grown.startswith(base):
-                added = grown[len(base):]
-                low, high = _inner(before, turn, added, base, render)
-                spans.append((at, at + len(added), at + low, at + high))
-                parts.append(added)
-                at += len(added)
-            else:  # what is left of the old output, then all that is new
-                rewrites.append(i)
-                same = next((j for j, (a, b) in enumerate(zip(base, grown)) if a != b), min(len(base), len(grown)))
-                parts, at = [grown], len(grown)
-                spans.append((same, at, same, at))
-        return Rendered("".join(parts), spans, rewrites)
-
-    whole = render(turns, None)
-    found = walk(window)
-    if len(turns) > window and (found.rewrites or found.text != whole):
-        found = walk(len(turns))
-    found.text = whole
-    return found
+    whole, stable = render(turns, None), getattr(render, "prefix_stable", False)
+    spans, around, rewrites, at, base = [], [], [], 0, render([], None)
+    for i, turn in enumerate(turns):
+        before = turns[max(0, i - 1):i] if stable else turns[:i]
+        if stable:
+            base = render(before, None)
+        grown = render([*before, turn], None)
+        opening, closing = _around(before, turn, base, render)
+        around.append((opening, closing))
+        if grown.startswith(base):
+            added = grown[len(base):]
+            fits = added.startswith(opening) and added.endswith(closing) and len(opening) + len(closing) <= len(added)
+            low, high = (len(opening), len(added) - len(closing)) if fits else (0, len(added))
+            at = at or len(base)
+            spans.append((at, at + len(added), at + low, at + high))
+            at += len(added)
+        else:
+            rewrites.append(i)
+            spans.append(None)
+        base = grown
+    if rewrites or at != len(whole):
+        if stable and not rewrites:
+            rewrites = [len(turns) - 1]  # declared stable, but the parts are not the whole
+        spans = [_again(turns, j, whole, around[j], render) for j in range(len(turns))]
+    return Rendered(whole, spans, rewrites)
 
 
 def _format(render: Template):
@@ -113,8 +136,8 @@ def _format(render: Template):
                 rows = []
                 for key, roles, texts in zip(part["conv_id"], part["roles"], part["texts"]):
                     found = locate(list(zip(roles, texts)), render)
-                    masked = [(low, high) for (role, (_, _, low, high)) in zip(roles, found.spans) if role == ASSISTANT]
-                    rows.append((key, found.text, [s[:2] for s in found.spans], masked, found.rewrites))
+                    masked = [s[2:] for role, s in zip(roles, found.spans) if role == ASSISTANT and s]
+                    rows.append((key, found.text, [s and s[:2] for s in found.spans], masked, found.rewrites))
                 out = pd.DataFrame(rows, columns=["conv_id", "formatted", "turn_spans", "loss_spans", "rewrites"])
                 out["conv_id"] = out["conv_id"].astype("Int64")
                 yield out
@@ -128,7 +151,8 @@ def format_conversations(conversations: DataFrame, render: Template = marked_tur
     One row per conversation; rows of a null conv_id are one conversation. Turns
     go by ``turn`` (null first), ties by role, then text; repeated rows are
     repeated turns. Null roles and texts are empty. A conversation is one output
-    string, so it has to fit into a value. An empty table gives an empty result.
+    string, so it has to fit into a value. A turn whose place the template leaves open
+    has a null in ``turn_spans`` and no loss span. An empty table gives an empty result.
     """
     turns = F.sort_array(F.collect_list(F.struct(
         "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))))

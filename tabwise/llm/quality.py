@@ -96,17 +96,10 @@ class Model:
     bias: float
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], prior: float, seed: int = 11) -> Model:
-    """Train vectors and layer. ``rows``: label, buckets and their counts per document.
-
-    ``prior`` is the share of label 1 among all labelled rows: the sample may hold
-    other shares, and the rows' weights make up for it. Without rows of both
-    labels every text has the prior.
-    """
+def fit_layers(rows: list[tuple[int, np.ndarray, np.ndarray]], prior: float,
+               seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors, layer and shift, trained. ``rows``: label, buckets and their counts per document, of both labels."""
     labels = np.array([r[0] for r in rows])
-    bias = float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
-    if len(rows) == 0 or labels.min() == labels.max():
-        return Model(np.zeros(BUCKETS, np.float32), bias)
     rng = np.random.default_rng(seed)
     vectors = ((rng.random((BUCKETS, DIMENSIONS)) - 0.5) / DIMENSIONS).astype(np.float32)
     layer = np.zeros((DIMENSIONS, 2), np.float32)
@@ -134,18 +127,28 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], prior: float, seed: int
             shift -= 0.1 * rate * error
             # Features share the step by their part of the text, as in an average.
             vectors[buckets] = own - rate * np.sqrt(part)[:, None] * back
+    return vectors, layer, shift
+
+
+def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], prior: float, seed: int = 11) -> Model:
+    """Train, and fold the layer into the table: the softmax of an average is that of the folded numbers.
+
+    ``prior`` is the share of label 1 among all labelled rows: the sample may hold
+    other shares, and the rows' weights make up for it. Without rows of both
+    labels every text has the prior.
+    """
+    if len({r[0] for r in rows}) < 2:
+        return Model(np.zeros(BUCKETS, np.float32), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
+    vectors, layer, shift = fit_layers(rows, prior, seed)
     return Model((vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(shift[1] - shift[0]))
 
 
 def train(docs: DataFrame, labels: DataFrame, low: int = SAMPLE_LOW, high: int = SAMPLE_HIGH) -> Model:
     sample = labelled_sample(docs, labels, "quality", {0: low, 1: high})
-    spark = docs.sparkSession
     share = labels.agg(F.avg(F.col("quality").cast("double"))).first()[0]
     prior = 0.5 if share is None else min(max(share, 0.0), 1.0)
-    if not len(sample):
-        return fit([], prior)
-    frame = spark.createDataFrame(sample[["label", "text"]], "label int, text string")
-    counted = frame.mapInPandas(_counts, "label int, buckets binary, counts binary").collect()
+    # Texts become counts where they are read: what comes to the driver is bounded by rows and buckets.
+    counted = sample.mapInPandas(_counts, "label int, buckets binary, counts binary").collect()
     return fit([(r["label"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32))
                 for r in counted], prior)
 

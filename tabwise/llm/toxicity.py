@@ -8,7 +8,7 @@ these are. What a sentence without any evidence would get is taken off first, so
 length alone never makes a text toxic.
 
 The model is fitted with numpy on a bounded sample of labelled rows
-(``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``, the rows with the smallest hashes of their
+(``SAMPLE_TOXIC``, ``SAMPLE_CLEAN``, ``SAMPLE_BYTES``: rows with the smallest hashes of their
 ids); its size is fixed. A penalty leaves a few hundred subwords with a weight.
 Scoring reads every whole text in one pass, no shuffle; only sentences with a word
 that speaks for toxicity are looked at closer.
@@ -23,7 +23,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwise.llm.common import fold, table
@@ -31,6 +31,8 @@ from tabwise.llm.common import fold, table
 FOLDS = 5
 SAMPLE_TOXIC = 1500
 SAMPLE_CLEAN = 2500
+#: Bytes of all whole texts of one label in the sample, at most.
+SAMPLE_BYTES = 32 << 20
 GRAMS = (4, 5)
 #: Log-odds of a sentence without evidence; fixed.
 BACKGROUND = -6.0
@@ -180,25 +182,33 @@ def _score(model: Model, offending: float):
     return run
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int]) -> pd.DataFrame:
-    """Texts and labels of a bounded sample: per label value, the rows with the smallest hashes of their ids.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int],
+                    most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """label, text of a bounded sample: per label value, the rows with the smallest hashes of their ids.
 
     The ids are picked from the labels alone and sent to the documents' scan
     (``sizes`` bounds them), so no text is shuffled but the sample's. Rows without
     the label or an id are left out, and so are ids without a document; an id with
-    several labels has the largest, one with several texts the smallest.
+    several labels has the largest, one with several texts the smallest. Per label
+    value the whole texts together have at most ``most_bytes``: a text that would
+    pass that is left out of the sample.
     """
     one = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(*sizes))
            .groupBy(F.col("doc_id").alias("of")).agg(F.max(label).cast("int").alias("label")))
     picked = reduce(DataFrame.unionByName, [
         one.filter(F.col("label") == value).orderBy(F.xxhash64("of"), "of").limit(n) for value, n in sizes.items()])
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("of"))
-    return (texts.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
-            .orderBy(F.desc("label"), F.xxhash64("doc_id"), "doc_id").toPandas())
+    one_each = texts.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
+    # At most the picked rows: a bounded window.
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    so_far = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(
+        Window.partitionBy("label").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return (one_each.withColumn("so_far", so_far).filter(F.col("so_far") <= most_bytes)
+            .orderBy(F.desc("label"), *order).select("label", "text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Model:
-    sample = labelled_sample(docs, labels, "toxic", {1: toxic, 0: clean})
+    sample = labelled_sample(docs, labels, "toxic", {1: toxic, 0: clean}).toPandas()
     return fit(sample["text"].tolist(), sample["label"].to_numpy()) if len(sample) else fit([], np.zeros(1))
 
 

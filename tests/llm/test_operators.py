@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -163,11 +164,26 @@ def test_quality_learns_from_subwords(spark):
     assert np.mean([(r.score >= 0.5) == (r.doc_id % 5 > 0) for r in got]) > 0.97
 
 
-def test_quality_scores_fold_the_layer_exactly():
-    rng = np.random.default_rng(3)
-    rows_ = [(int(i % 2), np.array([i % 2, 5 + i % 3]), np.array([2, 1])) for i in range(40)]
-    model = quality.fit(rows_, 0.5)
-    assert model.table[1] > model.table[0] and rng is not None
+def test_quality_scores_are_the_softmax_of_averaged_vectors(spark):
+    rng = random.Random(3)
+    texts = [prose(rng, rng.randrange(1, 60), 50) + (" good" if i % 2 else " bad!") for i in range(60)] + ["", None, "é 数据"]
+
+    def features(text):
+        hashed = list(quality._buckets(text, WordHasher(quality.AS_SPACE)))
+        return np.unique(np.concatenate(hashed or [np.zeros(0, np.int64)]), return_counts=True)
+
+    rows_ = [(i % 2, *features(t)) for i, t in enumerate(texts[:60])]
+    vectors, layer, shift = quality.fit_layers(rows_, 0.4)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality.score_quality(df, quality.fit(rows_, 0.4)).collect()}
+    for i, t in enumerate(texts):
+        buckets, counts = features(t)
+        mean = sum((n * vectors[b].astype(float) for b, n in zip(buckets, counts)), np.zeros(quality.DIMENSIONS))
+        z = mean / max(1, counts.sum()) @ layer.astype(float) + shift
+        assert got[i] == pytest.approx(np.exp(z[1]) / np.exp(z).sum(), abs=1e-5)
+    assert np.mean([(got[i] > 0.5) == (i % 2 == 1) for i in range(60)]) > 0.9
+    one = quality.fit([(1, *features("a"))], 0.7)
+    assert not one.table.any() and 1 / (1 + np.exp(-one.bias)) == pytest.approx(0.7)
 
 
 def test_quality_scores_every_row(docs, empty):
@@ -189,6 +205,33 @@ def test_quality_features_do_not_depend_on_pieces(monkeypatch):
     assert (count() == whole).all()
 
 
+def test_training_samples_are_bounded_by_rows_and_bytes(spark):
+    docs = spark.createDataFrame([(i, f"{i:03}" + "x" * (i % 40)) for i in range(200)] + [(7, "again"), (None, "n")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(180)] + [(3, 0), (500, 1), (None, 1)], "doc_id long, toxic int")
+    whole = toxicity.labelled_sample(docs, labels, "toxic", {1: 1000, 0: 1000}).collect()
+    assert len(whole) == 180 and sum(r.label for r in whole) == 90
+    few = toxicity.labelled_sample(docs, labels, "toxic", {1: 20, 0: 5}).collect()
+    assert [r.label for r in few] == [1] * 20 + [0] * 5
+    small = toxicity.labelled_sample(docs, labels, "toxic", {1: 1000, 0: 1000}, most_bytes=300).collect()
+    for label in (0, 1):
+        own = [len(r.text) for r in small if r.label == label]
+        assert 200 < sum(own) <= 300
+    assert small == [r for r in whole if r in small]  # the first ones by hash
+
+
+def test_toxicity_scores_by_hand():
+    weights = {"<badword>": 9.0, "<bad": 2.0, "<good>": -3.0, "word>": 1.0}
+    scores = toxicity.WordScores(toxicity.Model(weights))
+    text = "Badword here. good badword! Bad\nnothing? Good"
+    base = 1 / (1 + math.exp(6))
+    # Sums over the distinct words' subwords of 4 and 5 characters and the edged word itself.
+    z = [-6 + 9 + 2 + 1, -6 + 12 - 3, -6 + 2, None, None]
+    p = [(1 / (1 + math.exp(-x)) - base) / (1 - base) for x in z if x is not None]
+    got = toxicity.sentence_scores(text, scores)
+    assert [(a, b) for a, b, _ in got] == [(0, 12), (13, 26), (27, 31)]
+    assert [x for *_, x in got] == pytest.approx(p)
+
+
 # 3 secrets
 
 SECRETS = [
@@ -211,7 +254,7 @@ def test_secrets_match_brute_force(spark, docs, empty):
     for i, t in enumerate(texts):
         wanted = brute.secret_base(t)
         for k, c in enumerate(secrets.CLASSES):
-            spans = brute.entropy_spans(t, c.members, c.least, c.window, c.bits, secrets.ALLOWED)
+            spans = brute.entropy_spans(t, c.members, c.least, c.window, c.bits, secrets.ALLOWED, secrets.EXAMPLES)
             wanted += [(a, 3 + k, b, c.kind) for a, b in spans]
             dense += len(spans)
         assert got[i] == sorted(wanted), t
@@ -307,6 +350,53 @@ def test_licenses_do_not_depend_on_blocks(monkeypatch):
     assert whole.equals(scanned(texts)) and (whole["score"] == 1).all()
 
 
+def every_alignment(texts, idf, share=licenses.SHARE):
+    """Labels and score per text, from all starts of all templates."""
+    index = licenses.Index(idf=idf)
+    for text in texts:
+        w = [x.encode() for x in brute.ALNUM.findall(brute.lower(text))]
+        phrase = lambda p, low, high: any(
+            w[i:i + len(p.split())] == [x.encode() for x in p.split()] for i in range(max(0, low), min(high, len(w))))
+        labels = {label for p, label in licenses.PHRASES.items() if phrase(p, 0, len(w))}
+        best = 1.0 if labels else 0.0
+        for label, phrases, template in licenses.TEMPLATES:
+            t = [x.encode() for x in template.split()]
+            total = sum(index.weight(x) for x in t)
+            for start in range(-len(t), len(w)):
+                part = sum(index.weight(x) for i, x in enumerate(t) if 0 <= start + i < len(w) and w[start + i] == x) / total
+                best = max(best, min(1.0, part))
+                if part >= share and any(phrase(p, start, start + len(t)) for p in phrases):
+                    labels.add(label)
+        yield ",".join(sorted(labels)), best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_licenses_equal_a_scan_of_every_alignment(seed):
+    rng = random.Random(seed)
+    pool = sorted({w for t in licenses.TEMPLATES for w in t[2].split()})
+    texts = []
+    for _ in range(40):
+        notice = rng.choice(licenses.TEMPLATES)[2].split()
+        spoilt = [w if rng.random() > rng.choice([0, 0.1, 0.3]) else rng.choice(pool) for w in notice]
+        noise = lambda: [rng.choice(pool) for _ in range(rng.randrange(25))]
+        cut = rng.randrange(len(spoilt)) if rng.random() < 0.3 else 0
+        texts.append(" ".join([*noise(), *spoilt[cut:], *noise(), *(notice if rng.random() < 0.3 else [])]))
+    idf = {w.encode(): rng.choice([1e-3, 0.5, 2.0, 9.0]) for w in pool}
+    got = scanned(texts, idf)
+    for i, (labels, best) in enumerate(every_alignment(texts, idf)):
+        assert got["labels"][i] == labels and got["score"][i] == pytest.approx(best, abs=1e-9)
+    assert sum(map(bool, got["labels"])) > 5
+
+
+def test_licenses_from_a_table(spark):
+    rows = [("isc", ["Permission to use, copy"], "Permission to use, copy, modify, and/or distribute this software")]
+    templates = licenses.read_templates(spark.createDataFrame(rows, "label string, phrases array<string>, text string"))
+    docs = spark.createDataFrame([(1, "x permission to use copy modify and or distribute this SOFTWARE y")], "doc_id long, text string")
+    assert licenses.scan_licenses(docs, templates).first().labels == "isc"
+    with pytest.raises(ValueError):
+        licenses.read_templates(spark.createDataFrame([("a", [], "b")], "label string, phrases array<string>, text string"))
+
+
 def test_rarity_counts_all_documents(spark):
     df = spark.createDataFrame([("mit license",), ("the the license",), (None,)], "text string")
     idf = licenses.rarity(df.repartition(3))
@@ -370,22 +460,62 @@ def test_chat_round_trip_of_any_text():
         assert "".join(got.text[a:b] for a, b, _, _ in got.spans) == got.text
 
 
-def test_chat_windows_give_what_all_prefixes_give():
-    turns = [("user" if i % 2 else "assistant", f"t{i} ###") for i in range(60)]
-    assert chat.locate(turns, window=4) == chat.locate(turns, window=1000)
+def test_chat_declared_stable_gives_what_all_prefixes_give():
+    plain = lambda turns, opening=None: chat.marked_turns(turns, opening)
+    assert chat.marked_turns.prefix_stable and not hasattr(plain, "prefix_stable")
+    for n in (0, 1, 2, 60):
+        turns = [("user" if i % 2 else "assistant", f"t{i} ###" if i % 7 else "") for i in range(n)]
+        assert chat.locate(turns) == chat.locate(turns, plain)
 
 
-def test_chat_detects_rewritten_history():
-    def thinking(turns, opening=None):  # keeps a thought only in the last turn
-        out = "".join(f"[{r}]{t if i == len(turns) - 1 else re.sub('<t>.*?</t>', '', t)}\n"
-                      for i, (r, t) in enumerate(turns))
+def thinking_template():
+    def thinking(turns, opening=None):
+        """Keeps a thought only in the last turn."""
+        out = "<s>" + "".join(f"[{r}]{t if i == len(turns) - 1 else re.sub('<t>.*?</t>', '', t)}[/{r}]"
+                              for i, (r, t) in enumerate(turns))
         return out + (f"[{opening}]" if opening else "")
 
-    turns = [("user", "hi"), ("assistant", "<t>hm</t>yes"), ("user", "so"), ("assistant", "end")]
-    assert chat.locate(turns, thinking).rewrites == [2]
-    numbered = lambda turns, opening=None: f"{len(turns)}:" + "".join(t for _, t in turns)
-    assert chat.locate(turns * 20, numbered, window=3).rewrites == list(range(1, 80)) or \
-        len(chat.locate(turns * 20, numbered, window=3).rewrites) >= 79
+    return thinking
+
+
+def test_chat_finds_texts_again_after_rewritten_history():
+    turns = [("user", "q1 <t>"), ("assistant", "<t>x</t>a1"), ("user", "q2"), ("assistant", "<t>y</t>a2")]
+    got = chat.locate(turns, thinking_template())
+    assert got.text == "<s>[user]q1 <t>[/user][assistant]a1[/assistant][user]q2[/user][assistant]<t>y</t>a2[/assistant]"
+    assert got.rewrites == [2]
+    assert [got.text[s[2]:s[3]] for s in got.spans] == ["q1 <t>", "a1", "q2", "<t>y</t>a2"]
+    assert "".join(got.text[s[0]:s[1]] for s in got.spans) == got.text[3:]
+
+
+def test_chat_reports_rewrites_of_turns_far_back():
+    def empties(turns, opening=None):  # turns 30 and more back, at odd lengths
+        n = len(turns)
+        out = "".join(f"<{r}>{'' if n % 2 and n - i >= 30 else t}" for i, (r, t) in enumerate(turns))
+        return out + (f"<{opening}>" if opening else "")
+
+    turns = [("assistant" if i % 2 else "user", f"text {i}") for i in range(40)]
+    got = chat.locate(turns, empties)
+    assert got.rewrites == list(range(30, 40))  # emptied at odd lengths, back again at even ones
+    assert [got.text[s[2]:s[3]] for s in got.spans] == [t for _, t in turns]
+
+
+def test_chat_leaves_open_what_cannot_be_told():
+    def doubled(turns, opening=None):
+        return f"{len(turns)}:" + "".join(f"{t}|{t};" for _, t in turns) + (opening or "")
+
+    got = chat.locate([("user", "a"), ("assistant", "b")], doubled)
+    assert got.rewrites == [0, 1] and got.spans == [None, None]
+    wrong = lambda turns, opening=None: doubled(turns, opening)
+    wrong.prefix_stable = True
+    assert chat.locate([("user", "a"), ("assistant", "b"), ("user", "c")], wrong).rewrites
+
+
+def test_chat_rewriting_templates_in_tables(spark):
+    data = [(1, 0, "user", "q1"), (1, 1, "assistant", "<t>x</t>a1"), (1, 2, "user", "q2"), (1, 3, "assistant", "a2"), (2, 0, "user", "x")]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.format_conversations(df, thinking_template()).collect()}
+    assert "".join(got[1].formatted[s.start:s.end] for s in got[1].loss_spans) == "a1a2" and got[1].rewrites == [2]
+    assert got[2].loss_spans == [] and len(got[2].turn_spans) == 1
 
 
 def test_chat_tables(spark):

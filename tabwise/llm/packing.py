@@ -13,8 +13,10 @@ their tail among those of equal length.
 from __future__ import annotations
 
 import heapq
+import re
 import sys
 import types
+from array import array
 from bisect import bisect_right, insort
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -45,6 +47,8 @@ _CHUNK_BYTES, _GENERATION = 64, 300_000
 _TEXT_BLOCK = 1 << 20
 _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 _MARKS = b".,;:!?"
+#: Letters that stay single letters whatever stands beside them.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _PART_BYTES = 8 << 20
 
 
@@ -68,7 +72,11 @@ class ChunkIds(dict):
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer, self.old = tokenizer, {}
-        self.dtype = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype(self.code)
+        # How the normalizer and the byte-level step spell a letter, asked once each.
+        spell = lambda c: tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(c))
+        self.spelled = {i: "".join(part for part, _ in spell(chr(i))) for i in range(0x100) if _LETTERS.fullmatch(chr(i))}
         self.special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, chunk: bytes) -> bytes:
@@ -84,13 +92,14 @@ class ChunkIds(dict):
 
     def _encode(self, chunk: bytes) -> bytes:
         word = chunk.rstrip(_MARKS)
-        if word != chunk and word[-1:].isalpha():
+        letters = _LETTERS.fullmatch(text := word.decode("utf-8", "replace"))
+        if letters and word != chunk:
             return self[word] + self[chunk[len(word):]]
-        if chunk.isalpha():  # ASCII letters: nothing for the normalizer and the splitter to do
-            ids = [t.id for t in self.tokenizer.model.tokenize(chunk.decode())]
+        if letters:  # nothing for the splitter to do
+            ids = [t.id for t in self.tokenizer.model.tokenize(text.translate(self.spelled))]
         else:
             ids = self.whole(chunk)
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def whole(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -99,7 +108,7 @@ class ChunkIds(dict):
         """The ids of a text."""
         lower = text.lower()  # A-Z only
         if any(s in lower for s in self.special):  # such a token may stand inside a chunk, and cares for case
-            return np.array(self.whole(text), self.dtype).tobytes()
+            return array(self.code, self.whole(text)).tobytes()
         lower, parts, at = lower.translate(_SPACES), [], 0
         while at < len(lower):
             end = lower.find(b" ", at + _TEXT_BLOCK)

@@ -53,6 +53,11 @@ LARGE_TABLE_SUFFIXES = {
     "empresas": ".EMPRECSV", "estabelecimento": ".ESTABELE", "socios": ".SOCIOCSV",
     "simples": ".SIMPLES.CSV",
 }
+# Large-table layouts.
+LARGE_TABLE_COLUMNS = {
+    "empresas": COMPANY_COLUMNS, "estabelecimento": ESTABLISHMENT_COLUMNS, "socios": PARTNER_COLUMNS,
+    "simples": SIMPLE_TAX_COLUMNS,
+}
 # ---------------------------------------------------------------------------
 
 

@@ -194,7 +194,7 @@ def test_export_brings_cells_back(spark, tmp_dir):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "k int, v string")
     path = writers.export_sheet(df, os.path.join(tmp_dir, "sheet"), ["k"])
     schema = T.StructType([T.StructField("index", T.LongType()), *df.schema.fields])
-    got = sorted(map(tuple, readers.read_csv_header(spark, path, schema).collect()))
+    got = sorted(map(tuple, readers.read_csv_header(spark, path, schema, multi_line=True).collect()))
     assert got == [(i, i, c) for i, c in enumerate(cells)]
 
 

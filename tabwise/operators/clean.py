@@ -69,7 +69,8 @@ def cell_at(df: DataFrame, order_cols: list, position: int, column: str) -> Data
     """The cell at 0-based ``position`` in ``order_cols`` order (one row, or none).
 
     Spark rows have no index: the position is a consecutive ordinal over a
-    global sort (``with_ordinal``), not a single-task window.
+    global sort (``with_ordinal``), not a single-task window. Rows equal in
+    ``order_cols`` stand in the order of a hash of the row, whatever the partitions.
     """
     indexed = with_ordinal(df, order_cols, "_tw_pos")
     return indexed.where(F.col("_tw_pos") == F.lit(position)).select(column)
@@ -77,7 +78,7 @@ def cell_at(df: DataFrame, order_cols: list, position: int, column: str) -> Data
 
 def update_cell_at(df: DataFrame, order_cols: list, position: int, column: str,
                    value) -> DataFrame:
-    """Set the cell at 0-based ``position`` (in ``order_cols`` order)."""
+    """Set the cell at 0-based ``position`` (in ``order_cols`` order, ties as for ``cell_at``)."""
     indexed = with_ordinal(df, order_cols, "_tw_pos")
     out = indexed.withColumn(column, F.when(F.col("_tw_pos") == F.lit(position), F.lit(value))
                              .otherwise(F.col(column)))

@@ -18,7 +18,15 @@ from pyspark.sql import functions as F
 # monotonically_increasing_id() = partition index << 33 | row index in partition
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
-_TIE_SEED = 17
+
+
+def row_order(df: DataFrame) -> list:
+    """Two hashes of the row's contents (96 bits), to order rows by that are equal so far.
+
+    Map columns take no part, as they cannot be hashed.
+    """
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return [F.xxhash64(*plain), F.hash(*plain)] if plain else []
 
 
 def with_ordinal(df: DataFrame, order_cols: list, name: str = "ordinal",
@@ -27,11 +35,12 @@ def with_ordinal(df: DataFrame, order_cols: list, name: str = "ordinal",
 
     The sorted data is checkpointed to the session's checkpoint folder so the
     two reads below (offsets, rows) see the same partitions even if an executor
-    is lost and a stage is recomputed. A seeded random tiebreaker lets the range
-    partitioner split a huge run of equal keys over many tasks (tied rows are
-    interchangeable for the ordinal).
+    is lost and a stage is recomputed. Ties go by a hash of the row: the same order
+    however the rows are partitioned, and one that lets the range partitioner split a
+    huge run of equal keys over many tasks. Rows equal in every column are
+    interchangeable.
     """
-    ordered = df.orderBy(*order_cols, F.rand(_TIE_SEED))
+    ordered = df.orderBy(*order_cols, *row_order(df))
     if cut_lineage:
         ordered = ordered.checkpoint(eager=True)
     tagged = (ordered

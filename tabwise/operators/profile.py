@@ -2,18 +2,20 @@
 
 Each profile reads the table once with one wide aggregate (partial + final, so
 the work is spread over all tasks) and turns the single result row into one row
-per column. Exact quartiles come from a distributed sort, not from a
-per-column buffer of all values in one task.
+per column. Exact quartiles come from rounds of counting, not from a per-column buffer of
+all values in one task.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabwise.operators.selection import Range, select_ranks
 from tabwise.schemas import is_numeric
 
 
@@ -91,34 +93,77 @@ def describe(df: DataFrame, columns: list[str] | None = None,
              accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample), min, quartiles, max per column.
 
-    ``exact`` quartiles interpolate linearly between ranked values (two shuffles
-    of the numeric data: pre-aggregation and a global sort). ``exact=False``
-    uses ``percentile_approx`` (bounded memory per column, rank error at most
-    1/``accuracy``, returns data values, no interpolation).
+    ``exact`` quartiles interpolate linearly between ranked values, which are found
+    by rounds of counting (``selection``): a few scans of the columns, no sort and no
+    shuffle of rows. The report is then a small local table. ``exact=False`` uses
+    ``percentile_approx`` (bounded memory per column, rank error at most
+    1/``accuracy``, returns data values, no interpolation) and stays lazy.
     """
     cols = columns or numeric_column_names(df)
-    wide = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.count(_present(df, c)).alias(f"_tw_c{i}"),
-        F.avg(_present(df, c).cast("double")).alias(f"_tw_a{i}"),
-        F.stddev_samp(_present(df, c).cast("double")).alias(f"_tw_s{i}"),
-        F.min(_present(df, c).cast("double")).alias(f"_tw_lo{i}"),
-        F.max(_present(df, c).cast("double")).alias(f"_tw_hi{i}"))])
+    values = [_present(df, c).cast("double") for c in cols]
+    wide = df.agg(*[e for i, v in enumerate(values) for e in (
+        F.count(v).alias(f"_tw_c{i}"), F.avg(v).alias(f"_tw_a{i}"), F.stddev_samp(v).alias(f"_tw_s{i}"),
+        F.min(v).alias(f"_tw_lo{i}"), F.max(v).alias(f"_tw_hi{i}"))])
     moments = wide.select(_rows([
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"),
                  F.col(f"_tw_c{i}").alias("count"), F.col(f"_tw_a{i}").alias("mean"),
                  F.col(f"_tw_s{i}").alias("std"), F.col(f"_tw_lo{i}").alias("min"),
                  F.col(f"_tw_hi{i}").alias("max"))
         for i, c in enumerate(cols)]))
-    if exact:
-        qs = exact_quantiles(_long_values(df, cols), "_tw_cid", "value", quantiles)
-    else:
-        qs = approx_quantiles(_long_values(df, cols), "_tw_cid", "value", quantiles, accuracy)
-    # Both sides hold one row per column.
-    out = moments.join(qs, moments["position"] == qs["_tw_cid"], "left")
     qnames = [_qname(q) for q in quantiles]
+    if not exact:
+        qs = approx_quantiles(_long_values(df, cols), "_tw_cid", "value", quantiles, accuracy)
+        # Both sides hold one row per column.
+        out = moments.join(qs, moments["position"] == qs["_tw_cid"], "left")
+        return out.select("column", "count", "mean", "std", "min", *qnames, "max", "position")
+    rows = moments.collect()  # one row per column
+    found = column_quantiles(df, cols, quantiles, {r.position: (r["min"], r["max"], r["count"]) for r in rows})
+    schema = T.StructType([*moments.schema.fields, *[T.StructField(q, T.DoubleType()) for q in qnames]])
+    out = df.sparkSession.createDataFrame([(*r, *found[r.position]) for r in rows], schema)
     return out.select("column", "count", "mean", "std", "min", *qnames, "max", "position")
 
 
+def column_quantiles(df: DataFrame, cols: list[str], quantiles: tuple,
+                     spans: dict[int, tuple]) -> dict[int, list[float | None]]:
+    """Per column position its exact quantiles, interpolated linearly; null without values.
+
+    ``spans`` holds smallest, largest and number of the present values, infinite ones included.
+    """
+    values, infinite, ranges, wanted = [_present(df, c).cast("double") for c in cols], {}, [], {}
+    endless = [i for i, (low, high, n) in spans.items() if n and (math.isinf(low) or math.isinf(high))]
+    if endless:  # ranks are counted among the finite values, between the infinite ones
+        finite = {i: F.when(F.abs(values[i]) < float("inf"), values[i]) for i in endless}
+        row = df.agg(*[e for i, v in finite.items() for e in (
+            F.count_if(values[i] == float("-inf")).alias(f"below{i}"), F.count(v).alias(f"n{i}"),
+            F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}"))]).first()
+        infinite = {i: row[f"below{i}"] for i in endless}
+        values = [finite.get(i, v) for i, v in enumerate(values)]
+    for i, (low, high, n) in spans.items():
+        if n:
+            if i in infinite:
+                low, high, inside = row[f"low{i}"], row[f"high{i}"], row[f"n{i}"]
+            else:
+                inside = n
+            if inside:
+                ranges.append(Range(i, low, high, 0, inside))
+            wanted[i] = {k for q in quantiles for k in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))}
+    inside = {r.column: r.inside for r in ranges}
+    ranks = [(i, k - infinite.get(i, 0)) for i, found in wanted.items() for k in found
+             if 0 <= k - infinite.get(i, 0) < inside.get(i, 0)]
+    known = select_ranks(df, values, ranges, ranks)
+
+    def at(i: int, k: int) -> float:
+        k -= infinite.get(i, 0)
+        return known[i, k] if (i, k) in known else float("-inf") if k < 0 else float("inf")
+
+    def quantile(i: int, n: int, q: float) -> float:
+        place = q * (n - 1)
+        low, high = at(i, math.floor(place)), at(i, math.ceil(place))
+        return low if low == high else low + (high - low) * (place - math.floor(place))
+
+    return {i: [quantile(i, n, float(q)) if n else None for q in quantiles] for i, (_, _, n) in spans.items()}
+
+
 def _qname(q: float) -> str:
     return "q" + f"{q * 100:g}".replace(".", "_")
 
@@ -206,8 +251,11 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -
     for i, c in enumerate(cols):
         value = _present(df, c).cast("double")
         low, _, width = widened(F.col(f"_tw_lo{i}"), F.col(f"_tw_hi{i}"))
-        reached = [(value >= F.lit(k) * width + low).cast("int") for k in range(1, bins)]
-        bin_no = reduce(lambda x, y: x + y, reached, F.lit(1))
+        # The edge is width * k + low: a division comes within one bin of it.
+        place = F.greatest(F.lit(0.0), F.least(F.lit(bins - 1.0), F.try_divide(value - low, width)))
+        near = F.floor(place).cast("int") + 1
+        bin_no = (F.when((near > 1) & (value < (near - 1) * width + low), near - 1)
+                  .when((near < bins) & (value >= near * width + low), near + 1).otherwise(near))
         cells.append(F.struct(F.lit(i).alias("_tw_cid"), F.when(value.isNotNull(), bin_no).alias("bin")))
     binned = df.crossJoin(F.broadcast(rng_wide)).select(F.inline(F.array(*cells))).where(F.col("bin").isNotNull())
     counts = binned.groupBy("_tw_cid", "bin").agg(F.count(F.lit(1)).alias("count"))

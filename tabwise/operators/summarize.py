@@ -112,6 +112,46 @@ def add_margins(table: DataFrame, row: str, total_name: str = "Total",
     return body.unionByName(totals_row)
 
 
+def crosstab_margins(df: DataFrame, row: str, column: str, values: list | None = None,
+                     total_name: str = "Total", min_total: float | None = None,
+                     total_label: str = "total") -> DataFrame:
+    """Contingency table with row totals, an optional ``Total > min_total`` filter, and a column-totals row.
+
+    The same table as ``add_margins`` over ``crosstab``, from one aggregate by grouping
+    sets: cells and row totals (and the column labels, unless given) come from a single
+    scan. The pivot and the totals row then work on that small table, which is
+    shuffled once for both: three shuffles in all.
+    """
+    pairs = _non_null(df, row, column)
+    sets = [[F.col(f"`{row}`"), F.col(f"`{column}`")], [F.col(f"`{row}`")]] + ([] if values is not None else [[F.col(f"`{column}`")]])
+    long = pairs.groupingSets(sets, F.col(f"`{row}`"), F.col(f"`{column}`")).agg(
+        F.count(F.lit(1)).alias("_tw_n"), F.grouping_id().alias("_tw_set"))
+    no_column, no_row = 1, 2
+    if values is None:
+        long = long.checkpoint(eager=True)
+        labels = long.where(F.col("_tw_set") == no_row).select(F.col(f"`{column}`").alias("label")).collect()
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        if len(labels) > most:
+            raise ValueError(f"{column} has {len(labels)} labels, more than spark.sql.pivotMaxValues = {most}; see pair_counts")
+        values = sorted(r.label for r in labels)
+
+    def name(v) -> str:
+        return str(v).lower() if isinstance(v, bool) else str(v)
+
+    cells = [F.coalesce(F.sum(F.when((F.col("_tw_set") == 0) & (F.col(f"`{column}`") == F.lit(v)), F.col("_tw_n"))), F.lit(0))
+             .cast("bigint").alias(f"_tw_{i}") for i, v in enumerate(values)]
+    total = F.sum(F.when(F.col("_tw_set") == no_column, F.col("_tw_n"))).alias("_tw_total")
+    table = long.where(F.col("_tw_set") != no_row).groupBy(F.col(f"`{row}`").alias("_tw_row")).agg(*cells, total)
+    if min_total is not None:
+        table = table.where(F.col("_tw_total") > F.lit(min_total))
+    numbers = [f"_tw_{i}" for i in range(len(values))] + ["_tw_total"]
+    names = [*map(name, values), total_name]
+    body = table.select(F.col("_tw_row").cast("string").alias(row), *[F.col(c).alias(n) for c, n in zip(numbers, names)])
+    totals = table.agg(*[F.sum(c).alias(c) for c in numbers]).select(
+        F.lit(total_label).alias(row), *[F.col(c).alias(n) for c, n in zip(numbers, names)])
+    return body.unionByName(totals)
+
+
 def matrix_range(table: DataFrame, columns: list[str]) -> DataFrame:
     """Largest and smallest cell over a block of columns."""
     cells = [F.col(f"`{c}`") for c in columns]

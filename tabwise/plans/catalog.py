@@ -24,7 +24,8 @@ from tabwise.operators import clean, enrich, filters, prepare, profile, summariz
 from tabwise.plans import fixtures
 from tabwise.plans.tables import load
 from tabwise.schemas import (CODE_TABLE_COLUMNS, CODE_TABLE_SUFFIXES, COMPANY_COLUMNS, KEY_WIDTH,
-                             LARGE_TABLE_SUFFIXES, SHEET_COLUMNS, SHEET_COLUMNS_15, SHEET_SCHEMA)
+                             LARGE_TABLE_SUFFIXES, PARTNER_COLUMNS, SHEET_COLUMNS, SHEET_COLUMNS_15, SHEET_SCHEMA,
+                             SIMPLE_TAX_COLUMNS)
 from tabwise.session import scratch_path
 from tabwise.sources import readers, writers
 from tabwise.streaming import stream_append_load
@@ -307,10 +308,11 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
 
 
-def _enriched(spark, sf):
+def _enriched(spark, sf, registry=None, stored_padded=False):
     keys = load(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("cnpj"), "doc_id", "lang", "source", "n_chars")
-    out = enrich.lookup_join(keys, _registry(spark, sf), "cnpj", record_col="rec", pad_width=KEY_WIDTH)
+    out = enrich.lookup_join(keys, registry or _registry(spark, sf), "cnpj", record_col="rec", pad_width=KEY_WIDTH,
+                             stored_padded=stored_padded)
     return out.select("cnpj", "doc_id", "lang", "source", F.col("rec.quality").alias("quality"),
                       F.col("rec.toxic").alias("toxic"), "found")
 
@@ -612,14 +614,9 @@ SELECT 'total', {', '.join(f'CAST(sum("{t}") AS BIGINT)' for t in P_TYPES)},
 """
 
 
-def _margins(spark, sf):
-    ct = summarize.crosstab(load(spark, sf, "part"), "p_brand", "p_type")
-    return summarize.add_margins(ct, "p_brand", "Total", min_total=MARGIN_MIN)
-
-
 @query("crosstab_margins", _MARGINS_SQL)
 def q_crosstab_margins(spark, sf):
-    return _margins(spark, sf)
+    return summarize.crosstab_margins(load(spark, sf, "part"), "p_brand", "p_type", min_total=MARGIN_MIN)
 
 
 @query("matrix_range", f"""
@@ -932,6 +929,46 @@ def q_scan_csv_header(spark, sf):
     return readers.read_csv_header(spark, path, CUSTOMER_SCHEMA)
 
 
+@query("scan_csv_inferred", """
+SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS code, c_name, c_nationkey, c_acctbal,
+       c_acctbal > 0 AS in_credit, DATE '2020-01-01' + CAST(c_custkey % 400 AS INTEGER) AS since,
+       CASE WHEN c_nationkey > 10 THEN c_nationkey END AS sparse, c_custkey * 1000000007 AS large,
+       CASE WHEN c_custkey % 2 = 0 THEN 'n/a' ELSE CAST(c_nationkey AS VARCHAR) END AS mixed,
+       'bigint,string,string,bigint,double,boolean,date,bigint,bigint,string' AS types
+FROM customer
+""")
+def q_scan_csv_inferred(spark, sf):
+    """Types found from all cells: codes with leading zeros and mixed columns stay text."""
+    path = scratch_path(spark, "inferred-csv")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    made = load(spark, sf, "customer").select(
+        key, F.lpad(key.cast("string"), 14, "0").alias("code"), "c_name", nation, "c_acctbal",
+        (F.col("c_acctbal") > 0).alias("in_credit"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (key % 400).cast("int")).alias("since"),
+        F.when(nation > 10, nation).alias("sparse"), (key * 1000000007).alias("large"),
+        F.when(key % 2 == 0, "n/a").otherwise(nation.cast("string")).alias("mixed"))
+    with fixtures.landing():
+        made.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    found = readers.read_csv_inferred(spark, path)
+    types = ",".join(t for _, t in found.dtypes)
+    return found.withColumn("c_nationkey", F.col("c_nationkey").cast("int")).withColumn("types", F.lit(types))
+
+
+@query("scan_quoted_newlines", """
+SELECT doc_id, source, text FROM documents
+""")
+def q_scan_quoted_newlines(spark, sf):
+    """Whole texts as cells: newlines, quotes and separators in them."""
+    path = scratch_path(spark, "quoted-csv")
+    with fixtures.landing():
+        (load(spark, sf, "documents").select("doc_id", "source", "text").write.option("header", True)
+            .option("quote", '"').option("escape", '"').option("quoteAll", True).option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()),
+                           T.StructField("text", T.StringType())])
+    return readers.read_csv_header(spark, path, schema, multi_line=True)
+
+
 def _lineitem_extract(spark, sf):
     """lineitem as the raw extract: all text, plus an always-blank column."""
     li = load(spark, sf, "lineitem")
@@ -1021,6 +1058,55 @@ def _csv_lines(df):
         "sep": ";", "quote": '"', "escape": '"'}).alias("line"))
 
 
+def _simple_sql(n: str) -> str:
+    return f"CASE WHEN {n} % 3 = 0 THEN 'S' ELSE 'N' END"
+
+
+@query("registry_layouts", f"""
+SELECT 'partner' AS layout, lpad(CAST(s.s_suppkey AS VARCHAR), 8, '0') AS cnpj_basico, s.s_name AS nome,
+       CAST(s.s_nationkey AS VARCHAR) AS pais, n.n_name AS descricao, '' AS opcao, '' AS exclusao
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+UNION ALL
+SELECT 'simples', lpad(CAST(c_custkey AS VARCHAR), 8, '0'), '', '', '', {_simple_sql('c_custkey')}, '00000000' FROM customer
+UNION ALL
+SELECT k.kind, '', '', CAST(n_nationkey AS VARCHAR), n_name || ' ' || k.kind, '', ''
+FROM nation, (VALUES {', '.join(f"('{k}')" for k in sorted(CODE_TABLE_SUFFIXES))}) AS k(kind)
+""")
+def q_registry_layouts(spark, sf):
+    """Partners (11 columns), the simple tax regime (7) and all six code tables, picked by their suffixes."""
+    path = scratch_path(spark, "registry-layouts")
+    supplier, nation, customer = (load(spark, sf, t) for t in ("supplier", "nation", "customer"))
+    partners = supplier.select(
+        F.lpad(F.col("s_suppkey").cast("string"), 8, "0"), F.lit("2"), "s_name", F.lit("***000000**"), F.lit("49"),
+        F.lit("20200131"), "s_nationkey", F.lit("***000000**"), F.lit(""), F.lit("00"), F.lit("4")).toDF(*PARTNER_COLUMNS)
+    simple = customer.select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0"), F.when(F.col("c_custkey") % 3 == 0, "S").otherwise("N"),
+        F.lit("20180101"), F.lit("00000000"), F.lit("N"), F.lit("00000000"), F.lit("00000000")).toDF(*SIMPLE_TAX_COLUMNS)
+    fixtures.land_zip_archives(_csv_lines(partners), path + "/large", LARGE_TABLE_SUFFIXES["socios"])
+    # The published member ends in a part date, .SIMPLES.CSV.D20910.
+    fixtures.land_zip_archives(_csv_lines(simple), path + "/simples", LARGE_TABLE_SUFFIXES["simples"] + ".D20910")
+    for kind, suffix in CODE_TABLE_SUFFIXES.items():
+        codes = nation.select("n_nationkey", F.concat("n_name", F.lit(f" {kind}"))).toDF(*CODE_TABLE_COLUMNS)
+        fixtures.land_zip_archives(_csv_lines(codes), f"{path}/{kind}", suffix, archives=1)
+
+    # All archives in one place: a member's name tells its table.
+    parts = {k: readers.read_registry(spark, path + "/*", k) for k in ("socios", "simples", *CODE_TABLE_SUFFIXES)}
+    text = lambda c: F.lit(c) if c == "" else F.col(c)
+
+    def shaped(df, layout, name, country, meaning, option, left):
+        return df.select(F.lit(layout).alias("layout"), text("" if layout in CODE_TABLE_SUFFIXES else "cnpj_basico").alias("cnpj_basico"),
+                         text(name).alias("nome"), text(country).alias("pais"), text(meaning).alias("descricao"),
+                         text(option).alias("opcao"), text(left).alias("exclusao"))
+
+    country = parts["pais"].withColumn("descricao", F.regexp_replace("descricao", " pais$", ""))
+    partner = parts["socios"].join(country, parts["socios"].pais == country.codigo)
+    out = shaped(partner, "partner", "nome_socio", "pais", "descricao", "", "").unionByName(
+        shaped(parts["simples"], "simples", "", "", "", "opcao_simples", "data_exclusao_simples"))
+    for kind in CODE_TABLE_SUFFIXES:
+        out = out.unionByName(shaped(parts[kind], kind, "", "codigo", "descricao", "", ""))
+    return out
+
+
 @query("json_landed", """
 SELECT c.c_custkey AS c_custkey, c.c_name AS c_name, n.n_name AS state
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -1031,8 +1117,8 @@ def q_json_landed(spark, sf):
     cust, nation = load(spark, sf, "customer"), load(spark, sf, "nation")
     element = F.struct("c_custkey", "c_name", F.struct(F.struct(F.col("n_name").alias("name")).alias("state")).alias("place"))
     rows = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
-        (F.col("c_custkey") % 64).alias("file"), element.alias("e"))
-    # One array per file, as the remote service returns them.
+        F.floor(F.col("c_custkey") / 1000).alias("file"), element.alias("e"))
+    # One array per file, as the remote service returns them: pages of a thousand keys.
     with fixtures.landing():
         (rows.groupBy("file").agg(F.to_json(F.collect_list("e")).alias("value"))
             .write.partitionBy("file").text(path))
@@ -1103,6 +1189,32 @@ def q_append_load(spark, sf):
     return _append_result(spark.read.parquet(path))
 
 
+@query("append_rerun", _APPEND_SQL)
+def q_append_rerun(spark, sf):
+    """Two loads; the first breaks down before it is published and is run again, both are then repeated."""
+    root = scratch_path(spark, "append-once")
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity")
+    is_open = F.col("l_linestatus") == "O"
+    loads = {}
+    for name, rows in (("open", li.where(is_open)), ("rest", li.where(~is_open | F.col("l_linestatus").isNull()))):
+        fixtures.land_delimited(rows, f"{root}/{name}")
+        loads[name] = (writers.source_fingerprint(spark, f"{root}/{name}"),
+                       readers.read_delimited_text(spark, f"{root}/{name}", li.columns))
+    table = f"{root}/table"
+    fails = F.when(F.col("l_orderkey") != "", F.raise_error(F.lit("broken load"))).cast("string")
+    load_id, rows = loads["open"]
+    try:
+        writers.append_once(rows.withColumn("l_quantity", fails), table, load_id)
+    except Exception as e:  # noqa: BLE001
+        if "broken load" not in str(e):
+            raise
+    for _ in range(2):
+        for load_id, rows in loads.values():
+            writers.append_once(rows, table, load_id)
+    loaded = spark.read.parquet(table)
+    return _append_result(loaded.withColumn("l_quantity", CV.to_number("l_quantity")))
+
+
 @query("stream_append_load", _APPEND_SQL)
 def q_stream_append_load(spark, sf):
     root = scratch_path(spark, "stream")
@@ -1175,6 +1287,65 @@ def q_clustered_lookup(spark, sf):
     return spark.read.schema(CUSTOMER_SCHEMA).parquet(path).where(F.col("c_custkey").between(100, 140))
 
 
+@query("clustered_multi", """
+SELECT 'c_custkey' AS looked_up_by, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+WHERE c_custkey BETWEEN 100 AND 140
+UNION ALL SELECT 'c_name', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+WHERE c_name BETWEEN 'Customer#000000050' AND 'Customer#000000090'
+UNION ALL SELECT 'c_acctbal', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+WHERE c_acctbal BETWEEN 100 AND 200
+""")
+def q_clustered_multi(spark, sf):
+    """One layout, looked up by each of three keys."""
+    path = scratch_path(spark, "clustered-multi")
+    writers.clustered_write_multi(load(spark, sf, "customer"), path, ["c_custkey", "c_name", "c_acctbal"])
+    table = spark.read.schema(CUSTOMER_SCHEMA).parquet(path)
+    found = {"c_custkey": F.col("c_custkey").between(100, 140),
+             "c_name": F.col("c_name").between("Customer#000000050", "Customer#000000090"),
+             "c_acctbal": F.col("c_acctbal").between(100, 200)}
+    parts = [table.where(p).withColumn("looked_up_by", F.lit(k)) for k, p in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("enrich_bucketed", _ENRICH_SQL)
+def q_enrich_bucketed(spark, sf):
+    """The registry saved once in buckets of its padded key; lookups shuffle their keys only."""
+    path = scratch_path(spark, "registry-buckets")
+    registry = writers.save_bucketed(_registry(spark, sf), f"registry_{path.split('/')[-2]}", path, "cnpj", 8, KEY_WIDTH)
+    return _enriched(spark, sf, registry, stored_padded=True)
+
+
+@query("sql_stored_tables", _IN_SQL.format(customer="customer", nation="nation"))
+def q_sql_stored_tables(spark, sf):
+    """The same SQL over catalogue tables with statistics."""
+    path = scratch_path(spark, "stored")
+    names = {t: f"{t}_{path.split('/')[-2]}" for t in ("customer", "nation")}
+    for t, name in names.items():
+        writers.save_table(load(spark, sf, t), name, f"{path}/{t}")
+    return spark.sql(_IN_SQL.format(**names))
+
+
+@query("bind_columns", """
+WITH c AS (SELECT c_nationkey AS nation, count(*) AS n, sum(c_custkey) AS keys FROM customer WHERE c_nationkey > 3 GROUP BY 1
+           UNION ALL SELECT NULL, count(*), sum(c_custkey) FROM customer WHERE c_nationkey <= 3),
+     s AS (SELECT s_nationkey AS nation, count(*) AS n FROM supplier WHERE s_nationkey < 20 GROUP BY 1
+           UNION ALL SELECT NULL, count(*) FROM supplier WHERE s_nationkey >= 20),
+     l AS (SELECT nation FROM c UNION SELECT nation FROM s UNION SELECT n_nationkey FROM nation)
+SELECT l.nation AS nation, c.n AS customers_n, CAST(c.keys AS BIGINT) AS keys, s.n AS suppliers_n, x.n_name AS n_name
+FROM l LEFT JOIN c ON l.nation IS NOT DISTINCT FROM c.nation LEFT JOIN s ON l.nation IS NOT DISTINCT FROM s.nation
+       LEFT JOIN nation x ON l.nation = x.n_nationkey
+""")
+def q_bind_columns(spark, sf):
+    """Three tables side by side by nation; each lacks labels that others have, and null is a label."""
+    cust, supp, nation = (load(spark, sf, t) for t in ("customer", "supplier", "nation"))
+    key = F.when(F.col("c_nationkey") > 3, F.col("c_nationkey")).alias("nation")
+    customers = cust.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+    key = F.when(F.col("s_nationkey") < 20, F.col("s_nationkey")).alias("nation")
+    suppliers = supp.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    names = nation.select(F.col("n_nationkey").alias("nation"), "n_name")
+    return enrich.bind_columns({"customers": customers, "suppliers": suppliers, "names": names}, "nation")
+
+
 @query("describe_customer", _describe_sql("customer", ["c_custkey", "c_nationkey", "c_acctbal"]))
 def q_describe_customer(spark, sf):
     d = profile.describe(load(spark, sf, "customer"))
@@ -1190,3 +1361,13 @@ UNION ALL SELECT 'row_count', CAST(count(*) AS VARCHAR) FROM orders
 def q_dataset_metadata(spark, sf):
     return writers.dataset_metadata(load(spark, sf, "orders"), "21/11/2022",
                                     date_key="reference_date", count_key="row_count")
+
+
+@query("written_metadata", """
+SELECT 'reference_date' AS referencia, '21/11/2022' AS valor
+UNION ALL SELECT 'row_count', CAST(count(*) AS VARCHAR) FROM orders
+""")
+def q_written_metadata(spark, sf):
+    """The rows are counted while the table is written."""
+    return writers.write_with_metadata(load(spark, sf, "orders"), scratch_path(spark, "orders"), "21/11/2022",
+                                       date_key="reference_date", count_key="row_count")

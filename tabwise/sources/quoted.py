@@ -61,8 +61,12 @@ def ranges(spark: SparkSession, path, quote: str = '"', glob: str | None = None)
     return states.select("file", "range", "length", (checked == 1).alias("inside"), "before")
 
 
-def _records(known: dict[tuple[str, int], tuple[int, bool]], quote: bytes, fragments: bool):
-    """Records and fragments of the lines of each range, or the fragments only; ``known``: length and state of the ranges."""
+def _records(split: dict[str, tuple[int, int]], opened: set[tuple[str, int]], quote: bytes, fragments: bool):
+    """Records and fragments of the lines of each range, or the fragments only.
+
+    ``split``: per file the length of its ranges but the last, and where that ends;
+    ``opened``: the ranges that begin inside a cell.
+    """
     def out(file: str, start: int, rows: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
         kinds, first, records = zip(*rows)
         return pa.RecordBatch.from_arrays(
@@ -88,10 +92,12 @@ def _records(known: dict[tuple[str, int], tuple[int, bool]], quote: bytes, fragm
                 if here != at:
                     if at and (rest := kept(ended())):
                         yield out(*at, rest)
-                    length, inside = known.get(here, (None, False))
-                    if length != batch["length"][low].as_py():
+                    size, end = split.get(here[0], (1, -1))
+                    length = batch["length"][low].as_py()
+                    if here[1] % size or length != min(size, end - here[1]):
                         raise RuntimeError(f"{here} is not a range that was counted: the files are split in another way "
                                            "now; set spark.sql.files.minPartitionNum")
+                    inside = here in opened
                     at, held, first, lacks_begin = here, [], here[1] == 0, inside
                 lines = batch["line"].slice(low, high - low)
                 odd = np.cumsum(pc.count_substring(lines, quote).to_numpy()) % 2
@@ -131,15 +137,19 @@ def read_records(spark: SparkSession, path, encoding: str = "UTF-8", quote: str
     the ranges runs a job over the files.
     """
     found = ranges(spark, path, quote, glob).collect()
-    known = {(r.file, r.range): (r.length, r.inside) for r in found}
+    split: dict[str, tuple[int, int]] = {}
+    for r in found:
+        size, end = split.get(r.file, (0, 0))
+        split[r.file] = max(size, r.length), max(end, r.range + r.length)
+    opened = {(r.file, r.range) for r in found if r.inside}
     crossing = {(r.file, x) for r in found if r.inside for x in (r.range, r.before)}
     lines, sign = _lines(spark, path, glob), quote.encode("ascii")
-    records = lines.mapInArrow(_records(known, sign, False), _SCHEMA).where(F.col("kind") == _WHOLE).select(
+    records = lines.mapInArrow(_records(split, opened, sign, False), _SCHEMA).where(F.col("kind") == _WHOLE).select(
         "file", "first", "record")
     if crossing:
         # Asked for by range and file together: by file alone Spark would leave out files, and split the others anew.
         here = F.concat_ws(":", "range", "file").isin([f"{start}:{file}" for file, start in sorted(crossing)])
-        pieces = lines.where(here).mapInArrow(_records(known, sign, True), _SCHEMA)
+        pieces = lines.where(here).mapInArrow(_records(split, opened, sign, True), _SCHEMA)
         # Within a range the end of an old record stands before the beginning of a new one.
         order = [F.col("range"), F.col("kind") == _BEGIN]
         number = F.sum((F.col("kind") == _BEGIN).cast("int")).over(Window.partitionBy("file").orderBy(*order))

@@ -66,6 +66,9 @@ TEMPLATES = (
 )
 #: Places of a text at which alignments are added up together.
 BLOCK = 1 << 16
+#: The look-up stops when the best alignment so far weighs this many times the words left:
+#: then few others come near it and have to be compared.
+_FAR = 8
 #: Share of a template that has to be aligned, by weight.
 SHARE = 0.8
 
@@ -121,22 +124,27 @@ class Index:
         at = self.places(words)
         out: dict[int, tuple[float, list[int]]] = {}
         for t, text in enumerate(self.texts):
-            if not any(w in at for w in text):
+            # Words that the document lacks belong to no alignment.
+            held = [(i, self.weight(text[i]), at[text[i]]) for i in self.order[t] if text[i] in at]
+            if not held:
                 continue
-            best, starts = 0.0, []
+            enough, best, starts = share * self.totals[t], 0.0, []
             for first in range(-len(text), len(words), BLOCK):
                 votes: dict[int, float] = {}
-                left, most = self.totals[t], best * self.totals[t]
-                for i in self.order[t]:
-                    if left < share * self.totals[t] and left < most:
+                left, most = sum(weight for _, weight, _ in held), best * self.totals[t]
+                for i, weight, found in held:
+                    if left < enough and left < most / _FAR:
                         break
-                    weight, found = self.weight(text[i]), at.get(text[i], ())
                     for place in found[bisect_left(found, first + i):bisect_left(found, first + BLOCK + i)]:
                         vote = votes[place - i] = votes.get(place - i, 0.0) + weight
-                        most = max(most, vote)
+                        if vote > most:
+                            most = vote
                     left -= weight
+                else:  # all looked up: the votes are the shares
+                    left, best = 0.0, max(best, most / self.totals[t])
+                    most = enough
                 # What rounding may have added or taken away is far below this.
-                needed = min(most, share * self.totals[t]) - left - 1e-6
+                needed = min(most, enough) - left - 1e-6
                 for start, part in sorted((k, self.share(t, words, k)) for k, v in votes.items() if v >= needed):
                     best = max(best, part)
                     if part >= share:

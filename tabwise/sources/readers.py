@@ -7,6 +7,7 @@ their leading zeros (they are text); ``read_csv_inferred`` finds the types inste
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from fnmatch import fnmatchcase
 from urllib.parse import quote
@@ -199,6 +200,19 @@ def _deal_members(members: list[tuple[str, str, int]], task_bytes: int) -> list[
     return groups
 
 
+def _line_chunks(text, beside: int, chunk_bytes: int):
+    """Lines without their ends, in lists of about ``chunk_bytes`` with ``beside`` bytes more a line."""
+    lines, room = [], chunk_bytes
+    for line in text:
+        lines.append(line.rstrip("\r\n"))
+        room -= len(line) + beside
+        if room <= 0:
+            yield lines
+            lines, room = [], chunk_bytes
+    if lines:
+        yield lines
+
+
 def _unzip_members(encoding: str, chunk_bytes: int):
     def unzip(batches):
         for pdf in batches:
@@ -207,10 +221,12 @@ def _unzip_members(encoding: str, chunk_bytes: int):
                     fs, name = task_filesystem(m["archive"])
                     with fs.open_input_file(name) as archive, zipfile.ZipFile(archive) as zf, zf.open(m["member"]) as fh:
                         text = io.TextIOWrapper(fh, encoding=encoding, newline="")
-                        while lines := text.readlines(chunk_bytes):
+                        # Beside a line: the names, repeated in its row, and what a Python text takes.
+                        beside = len(m["archive"]) + len(m["member"]) + sys.getsizeof("")
+                        for lines in _line_chunks(text, beside, chunk_bytes):
+                            # No .str of a series: the two refer to each other, so every chunk would stay until a collection.
                             yield pd.DataFrame({
-                                "archive": m["archive"], "member": m["member"],
-                                "line": pd.Series(lines, dtype=object).str.rstrip("\r\n")})
+                                "archive": m["archive"], "member": m["member"], "line": pd.Series(lines, dtype=object)})
     return unzip
 
 
@@ -225,10 +241,11 @@ def read_zip_lines(spark: SparkSession, path, member_suffix: str | None = None,
     The unit of work is a member: a first small job reads the archives' directories
     (one row a member, as Spark lists files on the driver), members are dealt to
     tasks of about ``task_bytes`` compressed bytes, and a task opens the archive by
-    its path, seeks to its members and reads them as streams in bounded chunks. So
-    neither an archive nor a member has to fit in memory, nor do their bytes pass
-    through a row, and one archive of many members keeps many tasks busy. A member
-    cannot be split. Members are listed when the table is defined.
+    its path, seeks to its members and reads them as streams in chunks of rows of
+    about ``chunk_bytes``, of which it holds two at most. So neither an archive nor a
+    member has to fit in memory, nor do their bytes pass through a row, and one
+    archive of many members keeps many tasks busy. A member cannot be split. Members
+    are listed when the table is defined.
     """
     listed = [tuple(r) for r in zip_members(spark, path, member_suffix, archive_glob, member_glob).collect()]
     groups = _deal_members(listed, task_bytes)

@@ -1,11 +1,14 @@
 """Readers that find types, split quoted files, and deal out archive members."""
 
 import csv
+import gc
 import io
 import os
 import random
+import tracemalloc
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -159,6 +162,35 @@ def test_members_of_one_archive_are_dealt_to_tasks(spark, tmp_dir):
     assert {r.member for r in listed} == {*members, "notes.txt"} and all(r.size > 0 for r in listed)
 
 
+def test_a_task_holds_chunks_of_a_member_only(tmp_dir):
+    path, chunk = f"{tmp_dir}/a.zip", 1 << 16
+    long = [f"{i:07};{'x' * 60}" for i in range(60_000)]
+    archive(path, {"long": "\r\n".join(long), "short": "x\n\r" * 100_000})
+    read = readers._unzip_members("latin-1", chunk)
+
+    def members(name):
+        return read([pd.DataFrame({"members": [[{"archive": path, "member": name}]]})])
+
+    n, off = 0, 0
+    gc.collect()
+    gc.disable()  # nothing may wait for a collection, which rows alone do not bring about
+    tracemalloc.start()
+    try:
+        for rows in members("long"):
+            off += rows["line"].tolist() != long[n:n + len(rows)]
+            n += len(rows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert n == 60_000 and off == 0
+    assert peak < sum(map(len, long)) / 4
+    # Names repeated beside short lines count as well.
+    sizes = [(len(rows), rows["line"].str.len().sum()) for rows in members("short")]
+    assert sum(n for n, _ in sizes) == 200_000 and sum(s for _, s in sizes) == 100_000
+    assert max(n for n, _ in sizes) * len(path + "short") <= chunk
+
+
 def test_members_are_dealt_by_size():
     members = [("a", "big", 100), ("a", "x", 30), ("b", "y", 30), ("b", "z", 30), ("b", "none", 0)]
     groups = readers._deal_members(members, 60)
